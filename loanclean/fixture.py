@@ -170,3 +170,37 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(clean_sql("{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+
+
+def layer2_sql(orders: str = "orders") -> str:
+    """An imperfect second layer: some days and months exchanged, some dates missing, some rows lost."""
+    y, m, d = (f"substr({_text('true_app')}, {a}, {n})" for a, n in ((1, 4), (6, 2), (9, 2)))
+    swapped = f"concat({y}, '-', {d}, '-', {m})"
+    app = (
+        f"case when k % 97 = 5 then null when k % 11 = 3 and cast({d} as int) <= 12 then {swapped} "
+        f"when k % 101 = 9 then concat({y}, '-', {m}, '-01') else {_text('true_app')} end"
+    )
+    return (
+        f"select customer_id, {app} as application_date, {_text('true_iss')} as issue_date, true_notes as advisor_notes "
+        f"from ({loans_sql(orders)}) loans where k % 50 <> 7"
+    )
+
+
+def layer2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(layer2_sql("{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+
+
+def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True dates of the original customers."""
+    loans = raw_loans(spark, sf_dir)
+    return loans.where("customer_id like 'LC%'").selectExpr(
+        "customer_id", "cast(true_app as string) as application_date", "cast(true_iss as string) as issue_date"
+    )
+
+
+def pair_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Injected copies and their originals."""
+    loans = raw_loans(spark, sf_dir)
+    return loans.where("customer_id like 'DUP%'").selectExpr(
+        "customer_id as duplicate_id", "concat('LC', cast(100000 + k as string)) as original_id"
+    )

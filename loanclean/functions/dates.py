@@ -40,6 +40,14 @@ def _compile(fmt: str) -> tuple[str, str]:
     return f"(?i)^{regex}$", pattern
 
 
+def _may_match(col: Column, fmt: str) -> Column:
+    """Cheap look for the separator of a format, or for letters where it has a month name."""
+    if "%b" in fmt or "%B" in fmt:
+        return col.rlike("[A-Za-z]")
+    literal = re.sub(r"%.", "", fmt).strip()[:1]
+    return col.contains(literal) if literal else F.lit(True)
+
+
 def read_date(col: Column, fmt: str) -> Column:
     """Date read with one strptime format, or null.
 
@@ -48,7 +56,7 @@ def read_date(col: Column, fmt: str) -> Column:
     """
     regex, pattern = _compile(fmt)
     text = squeeze(col) if " " in fmt else F.replace(col, F.lit(" "), F.lit(""))
-    return F.when(col.rlike(regex), F.try_to_date(text, pattern))
+    return F.when(_may_match(col, fmt) & col.rlike(regex), F.try_to_date(text, pattern))
 
 
 def candidates(text: Column, formats: list[str] = DATE_FORMATS) -> Column:

@@ -80,18 +80,20 @@ def indel_ratio(a: Column, b: Column) -> Column:
     return _ratio(lcs_length(a, b), F.length(a) + F.length(b))
 
 
-def best_choice(chars: Column, choices: list[str], min_score: float) -> Column:
+def best_choice(text: Column, chars: Column, choices: list[str], min_score: float) -> Column:
     """(score, order, choice) of the choice with the highest Indel ratio.
 
-    The first choice wins a tie. A choice is scored only if the two lengths
-    alone leave a chance to reach the minimum; others get -1.
+    The first choice wins a tie. The ratio reaches the minimum only if the
+    lengths allow it and the Levenshtein distance, which never exceeds the Indel
+    distance, is small enough; other choices get -1 without being scored.
     """
     size = F.size(chars)
     scored = []
     for i, choice in enumerate(choices):
         total = size + len(choice)
-        reachable = F.least(size, F.lit(len(choice))) * 200.0 >= total * min_score
-        score = F.when(reachable, _ratio(lcs_length_to(chars, choice), total)).otherwise(-1.0)
+        lengths = F.least(size, F.lit(len(choice))) * 200.0 >= total * min_score
+        edits = F.levenshtein(text, F.lit(choice)) * 100.0 <= total * (100.0 - min_score)
+        score = F.when(lengths & edits, _ratio(lcs_length_to(chars, choice), total)).otherwise(-1.0)
         scored.append(F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(choice).alias("choice")))
     return F.when(chars.isNotNull(), F.array_max(F.array(*scored)))
 
