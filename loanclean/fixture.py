@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanclean.sources.staging import stage
 from loanclean.values import CANONICAL_PURPOSES, LOAN_COLUMNS
 
 MONTH_NAMES = "JanFebMarAprMayJunJulAugSepOctNovDec"
@@ -164,14 +165,6 @@ def clean_sql(orders: str = "orders") -> str:
     return f"select concat('LC', {_text('100000 + k')}) as customer_id, {', '.join(cells)} from ({keys}) keys"
 
 
-def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(loans_sql("{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
-
-
-def clean_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(clean_sql("{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
-
-
 def layer2_sql(orders: str = "orders") -> str:
     """An imperfect second layer: some days and months exchanged, some dates missing, some rows lost."""
     y, m, d = (f"substr({_text('true_app')}, {a}, {n})" for a, n in ((1, 4), (6, 2), (9, 2)))
@@ -186,8 +179,35 @@ def layer2_sql(orders: str = "orders") -> str:
     )
 
 
+_staged: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str, select: str) -> DataFrame:
+    """The derived table, written once per session and then scanned.
+
+    Test tables may come as one file with one row group; the rows are spread
+    over all cores only where the scan would use fewer tasks than that.
+    """
+    slot = (spark.conf.get("spark.app.id"), sf_dir, name)
+    if slot not in _staged:
+        df = spark.sql(select, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        _staged[slot] = stage(df, f"fixture-{name}")
+    return _staged[slot]
+
+
+def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "loans", loans_sql("{orders}"))
+
+
+def clean_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "clean", clean_sql("{orders}"))
+
+
 def layer2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(layer2_sql("{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return _table(spark, sf_dir, "layer2", layer2_sql("{orders}"))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,4 +137,4 @@ def category_profile(df: DataFrame, position: str, columns: list[str] = PROFILED
         .agg(F.count("*").alias("n"), F.min("_pos").alias("first_pos"))
     )
     rank = F.row_number().over(W.partitionBy("column").orderBy("first_pos"))
-    return seen.withColumn("rank", rank).where(F.col("rank") <= top).drop("first_pos")
+    return seen.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= top).drop("first_pos")

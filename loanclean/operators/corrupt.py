@@ -156,8 +156,12 @@ def inject_phone(df: DataFrame, col: str = "phone", share: float = 0.30, seed: i
 
 
 def dirt_log(df: DataFrame) -> DataFrame:
-    """One row per change: customer_id, column, dirt_type."""
-    return df.select(KEY, F.inline(DIRT))
+    """One row per change: customer_id, column, dirt_type.
+
+    The outer form keeps Spark from testing the array for rows below the
+    injectors, which would evaluate all of them twice.
+    """
+    return df.select(KEY, F.inline_outer(DIRT)).where(F.col("dirt_type").isNotNull())
 
 
 def inject_duplicates(

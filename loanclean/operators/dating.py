@@ -52,12 +52,14 @@ def resolve_date_pairs(
     else:
         raise ValueError(f"unknown policy {policy!r}")
     found = date_pairs(df.select(key, first, second), first, second, min_gap, max_gap).withColumn("_best", best)
-    return found.select(
-        key,
+    solved = F.struct(
         F.date_format(F.col("_best.first"), "yyyy-MM-dd").alias(f"solved_{first}"),
         F.date_format(F.col("_best.second"), "yyyy-MM-dd").alias(f"solved_{second}"),
         F.col("_best").isNull().alias("is_ambiguous"),
     )
+    # A filter on the result stays above the one-row array, so the search runs
+    # once per record and not again inside the filter.
+    return found.select(key, F.inline_outer(F.array(solved)))
 
 
 def overlay_dates(
