@@ -74,9 +74,11 @@ def match_category(
     df = df.withColumn(col, F.replace(F.replace(text, F.lit(" "), F.lit("_")), F.lit("-"), F.lit("_")))
     exact = F.col(col).isin(choices)
     df = df.withColumn("_chars", F.when(~exact, characters(F.col(col))))
-    df = df.withColumn("_best", best_choice(F.col(col), F.col("_chars"), choices, min_score))
-    fuzzy = F.when(F.col("_best.score") >= min_score, F.col("_best.choice"))
-    return df.withColumn(col, F.when(exact, F.col(col)).otherwise(fuzzy)).drop("_chars", "_best")
+    # a filter on the result stays above the one-row array, so nothing is scored twice
+    best = F.array(best_choice(F.col(col), F.col("_chars"), choices, min_score))
+    df = df.select("*", F.inline_outer(best).alias("_score", "_order", "_choice"))
+    fuzzy = F.when(F.col("_score") >= min_score, F.col("_choice"))
+    return df.withColumn(col, F.when(exact, F.col(col)).otherwise(fuzzy)).drop("_chars", "_score", "_order", "_choice")
 
 
 def normalize_phone(df: DataFrame, col: str = "phone") -> DataFrame:
