@@ -152,6 +152,15 @@ def _jaro_winkler_block(a: np.ndarray, b: np.ndarray, la: np.ndarray, lb: np.nda
     return np.where(jaro > 0.7, jaro + prefix * 0.1 * (1.0 - jaro), jaro)
 
 
+def _numbered(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """A number per row and the distinct texts in the order of their numbers."""
+    seen: dict[str, int] = {}
+    numbers = np.fromiter((seen.setdefault(t, len(seen)) for t in texts), dtype=np.int64, count=len(texts))
+    distinct = np.empty(len(seen), dtype=object)
+    distinct[:] = list(seen)
+    return numbers, distinct
+
+
 def jaro_winkler_array(a: pd.Series, b: pd.Series) -> np.ndarray:
     """Jaro-Winkler similarity per row; 0 where a side is null or empty.
 
@@ -163,11 +172,10 @@ def jaro_winkler_array(a: pd.Series, b: pd.Series) -> np.ndarray:
     live = np.flatnonzero((a.notna() & b.notna()).to_numpy())
     if len(live) == 0:
         return out
-    xa, va = pd.factorize(a.iloc[live])
-    xb, vb = pd.factorize(b.iloc[live])
-    pair, back = np.unique(xa.astype(np.int64) * len(vb) + xb, return_inverse=True)
-    ta = np.asarray(va, dtype=object)[pair // len(vb)]
-    tb = np.asarray(vb, dtype=object)[pair % len(vb)]
+    xa, va = _numbered(a.iloc[live])
+    xb, vb = _numbered(b.iloc[live])
+    pair, back = np.unique(xa * len(vb) + xb, return_inverse=True)
+    ta, tb = va[pair // len(vb)], vb[pair % len(vb)]
     la = np.fromiter(map(len, ta), dtype=np.int64, count=len(ta))
     lb = np.fromiter(map(len, tb), dtype=np.int64, count=len(tb))
     score = np.where((ta == tb) & (la > 0), 1.0, 0.0)
