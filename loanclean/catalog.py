@@ -451,7 +451,8 @@ def gen_loans(spark, sf):
 
 @query
 def inject_missing(spark, sf):
-    df = corrupt.inject_missing(_clean_text(spark, sf), "annual_inc", 0.04, ["", "NULL", "N/A", "unknown", "-1"], exact=True)
+    clean = _clean_text(spark, sf)
+    df = corrupt.inject_missing(clean, "annual_inc", 0.04, ["", "NULL", "N/A", "unknown", "-1"], exact_in=clean)
     return df.select("customer_id", "annual_inc", F.size("dirt").cast("bigint").alias("changes"))
 
 

@@ -3,7 +3,8 @@
 Each injector is a projection: it changes some cells and notes the change in an
 array column ``dirt`` of the same row. The log of all injectors is read from
 that column in one pass. Rows are chosen by a draw per row (each row has the
-given chance); ``exact`` takes exactly ``int(rows * share)`` rows instead.
+given chance). With ``exact_in``, a table of the same ids, exactly
+``int(rows * share)`` rows are taken instead.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from loanclean.functions import draws
 from loanclean.functions.text import NOT_A_DIGIT
 from loanclean.operators.positions import index_by_digest, mark_exact_share
+from loanclean.sources.staging import stage
 from loanclean.values import NOTE_TYPOS
 
 KEY = "customer_id"
@@ -55,11 +57,13 @@ def _dig(seed: int, name: str) -> Column:
     return draws.digest(seed, name, F.col(KEY))
 
 
-def _choose(df: DataFrame, name: str, share: float, seed: int, exact: bool) -> DataFrame:
+def _choose(df: DataFrame, name: str, share: float, seed: int, exact_in: DataFrame | None) -> DataFrame:
     """Add ``_hit``: the rows that this injector touches."""
-    if exact:
-        return mark_exact_share(df.withColumn("_dig", _dig(seed, f"{name}/rows")), "_dig", share, "_hit").drop("_dig")
-    return df.withColumn("_hit", draws.uniform(_dig(seed, f"{name}/rows"), 0) < share)
+    dig = _dig(seed, f"{name}/rows")
+    if exact_in is None:
+        return df.withColumn("_hit", draws.uniform(dig, 0) < share)
+    ids = exact_in.select(dig.alias("_dig"))
+    return mark_exact_share(df.withColumn("_dig", dig), "_dig", share, "_hit", among=ids).drop("_dig")
 
 
 def _change(df: DataFrame, col: str, new: Column, dirt_type: str, only: Column | None = None) -> DataFrame:
@@ -70,14 +74,14 @@ def _change(df: DataFrame, col: str, new: Column, dirt_type: str, only: Column |
     return df.withColumns(changed).drop("_hit")
 
 
-def inject_missing(df: DataFrame, col: str, share: float, markers: list[str], seed: int = 7, exact: bool = False) -> DataFrame:
+def inject_missing(df: DataFrame, col: str, share: float, markers: list[str], seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
     name = f"missing/{col}"
-    chosen = _choose(df, name, share, seed, exact)
+    chosen = _choose(df, name, share, seed, exact_in)
     return _change(chosen, col, draws.pick(markers, _dig(seed, name), 0), "missing_marker")
 
 
 def inject_date_format(
-    df: DataFrame, col: str, share: float = 0.5, formats: list[str] = MESSY_DATE_FORMATS, seed: int = 7, exact: bool = False
+    df: DataFrame, col: str, share: float = 0.5, formats: list[str] = MESSY_DATE_FORMATS, seed: int = 7, exact_in: DataFrame | None = None
 ) -> DataFrame:
     """Write ISO dates in one of several layouts."""
     name = f"date_format/{col}"
@@ -86,16 +90,16 @@ def inject_date_format(
     new = F.when(which == 0, F.date_format(day, formats[0]))
     for i, fmt in enumerate(formats[1:], 1):
         new = new.when(which == i, F.date_format(day, fmt))
-    return _change(_choose(df, name, share, seed, exact), col, new, "date_format")
+    return _change(_choose(df, name, share, seed, exact_in), col, new, "date_format")
 
 
-def inject_decimal_comma(df: DataFrame, col: str, share: float = 0.08, seed: int = 7, exact: bool = False) -> DataFrame:
-    chosen = _choose(df, f"comma/{col}", share, seed, exact)
+def inject_decimal_comma(df: DataFrame, col: str, share: float = 0.08, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
+    chosen = _choose(df, f"comma/{col}", share, seed, exact_in)
     return _change(chosen, col, F.translate(col, ".", ","), "decimal_comma", ~F.col(col).isin(COMMA_SKIPS))
 
 
 def inject_variants(
-    df: DataFrame, col: str, variants: dict[str, list[str]], share: float, seed: int = 7, exact: bool = False
+    df: DataFrame, col: str, variants: dict[str, list[str]], share: float, seed: int = 7, exact_in: DataFrame | None = None
 ) -> DataFrame:
     """Replace known values by one of their other spellings."""
     name = f"variant/{col}"
@@ -103,20 +107,20 @@ def inject_variants(
     for value, spellings in variants.items():
         pick = draws.pick(spellings, dig, 0)
         new = F.when(F.col(col) == value, pick) if new is None else new.when(F.col(col) == value, pick)
-    return _change(_choose(df, name, share, seed, exact), col, new, "category_variant", F.col(col).isin(list(variants)))
+    return _change(_choose(df, name, share, seed, exact_in), col, new, "category_variant", F.col(col).isin(list(variants)))
 
 
-def inject_grade(df: DataFrame, col: str = "grade", share: float = 0.10, seed: int = 7, exact: bool = False) -> DataFrame:
+def inject_grade(df: DataFrame, col: str = "grade", share: float = 0.10, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
     g, which = F.col(col), draws.number(_dig(seed, "variant/grade"), 0) % 4
     new = (
         F.when(which == 0, F.lower(g)).when(which == 1, F.concat(F.lit(" "), g))
         .when(which == 2, F.concat(g, F.lit(" "))).otherwise(F.concat(F.lit("grade "), g))
     )
-    return _change(_choose(df, "variant/grade", share, seed, exact), col, new, "category_variant")
+    return _change(_choose(df, "variant/grade", share, seed, exact_in), col, new, "category_variant")
 
 
 def inject_text_noise(
-    df: DataFrame, col: str = "advisor_notes", share: float = 0.20, typos: list[tuple[str, str]] = NOTE_TYPOS, seed: int = 7, exact: bool = False
+    df: DataFrame, col: str = "advisor_notes", share: float = 0.20, typos: list[tuple[str, str]] = NOTE_TYPOS, seed: int = 7, exact_in: DataFrame | None = None
 ) -> DataFrame:
     """Misspell words, write in capitals or pad with blanks."""
     text = F.col(col)
@@ -129,20 +133,20 @@ def inject_text_noise(
         .when(draws.uniform(style, 1) < 0.3, F.concat(F.lit("  "), text, F.lit("   ")))
         .otherwise(text)
     )
-    return _change(_choose(df, "noise", share, seed, exact), col, text, "text_noise")
+    return _change(_choose(df, "noise", share, seed, exact_in), col, text, "text_noise")
 
 
-def inject_outliers(df: DataFrame, share: float = 0.01, seed: int = 7, exact: bool = False) -> DataFrame:
+def inject_outliers(df: DataFrame, share: float = 0.01, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
     """Impossible loan amounts, scores and debt ratios."""
     amount = F.concat(F.lit("-"), draws.between(1000, 40000, _dig(seed, "outlier/loan_amnt"), 0).cast("string"))
     ratio = draws.between(150, 999, _dig(seed, "outlier/dti"), 0).cast("string")
     plan = [("loan_amnt", amount, "outlier_negative"), ("fico_score", F.lit("9999"), "outlier_impossible"), ("dti", ratio, "outlier_impossible")]
     for col, new, kind in plan:
-        df = _change(_choose(df, f"outlier/{col}", share, seed, exact), col, new, kind)
+        df = _change(_choose(df, f"outlier/{col}", share, seed, exact_in), col, new, kind)
     return df
 
 
-def inject_phone(df: DataFrame, col: str = "phone", share: float = 0.30, seed: int = 7, exact: bool = False) -> DataFrame:
+def inject_phone(df: DataFrame, col: str = "phone", share: float = 0.30, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
     """Other layouts for ten-digit phone numbers."""
     digits = F.regexp_replace(col, NOT_A_DIGIT, "")
     which = draws.number(_dig(seed, "phone"), 0) % len(PHONE_LAYOUTS)
@@ -152,7 +156,7 @@ def inject_phone(df: DataFrame, col: str = "phone", share: float = 0.30, seed: i
         made = F.format_string(layout.replace("{}", "%s"), *parts)
         new = F.when(which == i, made) if new is None else new.when(which == i, made)
     new = F.when(F.length(digits) == 10, new).otherwise(F.col(col))
-    return _change(_choose(df, "phone", share, seed, exact), col, new, "phone_format", ~F.col(col).isin(PHONE_SKIPS))
+    return _change(_choose(df, "phone", share, seed, exact_in), col, new, "phone_format", ~F.col(col).isin(PHONE_SKIPS))
 
 
 def dirt_log(df: DataFrame) -> DataFrame:
@@ -165,14 +169,14 @@ def dirt_log(df: DataFrame) -> DataFrame:
 
 
 def inject_duplicates(
-    df: DataFrame, share: float = 0.015, seed: int = 7, exact: bool = False, position: str = "row_pos"
+    df: DataFrame, share: float = 0.015, seed: int = 7, exact_in: DataFrame | None = None, position: str = "row_pos"
 ) -> tuple[DataFrame, DataFrame]:
     """Add changed copies of some rows, shuffle, and return the table and the truth.
 
     The shuffle is a dense number in the order of a digest of the id, kept in
     ``position``; Spark tables have no row order of their own.
     """
-    chosen = _choose(df, "duplicate", share, seed, exact).where("_hit").drop("_hit")
+    chosen = _choose(df, "duplicate", share, seed, exact_in).where("_hit").drop("_hit")
     numbered = index_by_digest(chosen.withColumn("_dig", _dig(seed, "duplicate/rows")), "_dig", "_i").drop("_dig")
     change = _dig(seed, "duplicate")
     copies = numbered.withColumns(
@@ -191,18 +195,20 @@ def inject_duplicates(
 def make_dirty(df: DataFrame, seed: int = 7, exact: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All injectors in order. Returns the dirty text table, the duplicate truth and the log."""
     out = as_text(df)
+    exact_in = df.select(KEY) if exact else None
     for col, share, markers in MISSING_PLAN:
-        out = inject_missing(out, col, share, markers, seed, exact)
+        out = inject_missing(out, col, share, markers, seed, exact_in)
     for col in ("application_date", "issue_date"):
-        out = inject_date_format(out, col, seed=seed, exact=exact)
+        out = inject_date_format(out, col, seed=seed, exact_in=exact_in)
     for col in ("loan_amnt", "int_rate", "dti", "annual_inc"):
-        out = inject_decimal_comma(out, col, seed=seed, exact=exact)
-    out = inject_variants(out, "home_ownership", HOME_VARIANTS, 0.15, seed, exact)
-    out = inject_grade(out, seed=seed, exact=exact)
-    out = inject_variants(out, "purpose", PURPOSE_VARIANTS, 0.10, seed, exact)
-    out = inject_text_noise(out, seed=seed, exact=exact)
-    out = inject_outliers(out, seed=seed, exact=exact)
-    out = inject_phone(out, seed=seed, exact=exact)
+        out = inject_decimal_comma(out, col, seed=seed, exact_in=exact_in)
+    out = inject_variants(out, "home_ownership", HOME_VARIANTS, 0.15, seed, exact_in)
+    out = inject_grade(out, seed=seed, exact_in=exact_in)
+    out = inject_variants(out, "purpose", PURPOSE_VARIANTS, 0.10, seed, exact_in)
+    out = inject_text_noise(out, seed=seed, exact_in=exact_in)
+    out = inject_outliers(out, seed=seed, exact_in=exact_in)
+    out = inject_phone(out, seed=seed, exact_in=exact_in)
+    out = stage(out, "dirty-cells")  # read by the log, the copies and the table
     log = dirt_log(out)
-    table, truth = inject_duplicates(out.drop(DIRT), seed=seed, exact=exact)
+    table, truth = inject_duplicates(out.drop(DIRT), seed=seed, exact_in=exact_in)
     return table, truth, log

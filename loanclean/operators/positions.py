@@ -54,14 +54,17 @@ def assign_batches(df: DataFrame, position: str, size: int, out: str = "batch_id
     return index_by_position(df, position).withColumn(out, F.floor(F.col("idx") / size))
 
 
-def mark_exact_share(df: DataFrame, digest: str, share: float, out: str) -> DataFrame:
+def mark_exact_share(df: DataFrame, digest: str, share: float, out: str, among: DataFrame | None = None) -> DataFrame:
     """Mark exactly ``int(rows * share)`` rows: those with the smallest digests.
 
     Only the digest at the cut is looked up, so the rows themselves are not
-    shuffled. The cut is ranked inside the one bucket that contains it.
+    shuffled. The cut is ranked inside the one bucket that contains it. It can
+    be looked up in another table with the same digests, ``among``, where ``df``
+    is the end of a long chain of steps.
     """
+    among = df if among is None else among
     bucket = F.substring(digest, 1, SAMPLE_HEX)
-    sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))
+    sizes = among.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))
     running = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     whole = W.partitionBy()
     edge = (
@@ -71,7 +74,7 @@ def mark_exact_share(df: DataFrame, digest: str, share: float, out: str) -> Data
         .select("_bucket", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_room"))
     )
     cut = (
-        df.select(F.col(digest).alias("_digest"), bucket.alias("_bucket"))
+        among.select(F.col(digest).alias("_digest"), bucket.alias("_bucket"))
         .join(F.broadcast(edge), "_bucket")  # at most one row
         .withColumn("_rank", F.row_number().over(W.partitionBy("_bucket").orderBy("_digest")))
         .where(F.col("_rank") == F.col("_room"))
