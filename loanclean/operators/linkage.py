@@ -24,7 +24,7 @@ from loanclean.operators.positions import POSITION_BITS
 from loanclean.sources.staging import stage
 from loanclean.values import PAIR_FIELDS, PAIR_HIGH, PAIR_LOW
 
-TILE_PROFILES = 2000  # profiles per tile of a large block
+TILE_PROFILES = 200  # profiles per tile of a large block
 
 # Compared columns, cheapest first, and the name of each score.
 FUZZY_FIELDS = {"full_name": "name_score", "street_address": "address_score", "email": "email_score"}
@@ -116,7 +116,10 @@ def _triage(total: Column, low: float, high: float) -> Column:
 
 def _cross_pairs(prof: DataFrame, large: DataFrame, low: float) -> DataFrame:
     """Pairs of different profiles of a block with a total score of at least ``low``."""
-    cells = _cells(prof, large)
+    # Small input may still mean many pairs, so the number of tasks is given: Spark
+    # would otherwise merge small partitions, whatever work the join makes of them.
+    tasks = int(prof.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = _cells(prof, large).repartition(tasks, *BLOCK, "hi", "lo")
     a, b = cells.alias("a"), cells.alias("b")
     same_cell = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*BLOCK, "hi", "lo"]]
     meet_here = (F.col("a.tile") != F.col("b.tile")) | (F.col("a.hi") == F.col("a.lo"))
