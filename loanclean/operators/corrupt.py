@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from loanclean.functions import draws
 from loanclean.functions.text import NOT_A_DIGIT
 from loanclean.operators.positions import index_by_digest, mark_exact_share
-from loanclean.sources.staging import stage
 from loanclean.values import NOTE_TYPOS
 
 KEY = "customer_id"
@@ -208,7 +207,6 @@ def make_dirty(df: DataFrame, seed: int = 7, exact: bool = False) -> tuple[DataF
     out = inject_text_noise(out, seed=seed, exact_in=exact_in)
     out = inject_outliers(out, seed=seed, exact_in=exact_in)
     out = inject_phone(out, seed=seed, exact_in=exact_in)
-    out = stage(out, "dirty-cells")  # read by the log, the copies and the table
     log = dirt_log(out)
     table, truth = inject_duplicates(out.drop(DIRT), seed=seed, exact_in=exact_in)
     return table, truth, log
