@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanclean.llm.langid import op6_ppm_language
 from loanclean.llm.packing import op10_best_fit_packing
+from loanclean.llm.permindex import op8_permutation_index
 from loanclean.llm.pii import op1_contextual_pii
 from loanclean.llm.quality import op4_quality_gam
 from loanclean.llm.simhash import op3_simhash_components
 from loanclean.llm.tiling import op9_greedy_tiling
+from loanclean.llm.tokenfile import op5_token_file
+from loanclean.llm.toolcalls import OP2_SQL, op2_tool_calls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
+    "op2_tool_calls": op2_tool_calls,
     "op3_simhash_components": op3_simhash_components,
     "op4_quality_gam": op4_quality_gam,
+    "op5_token_file": op5_token_file,
+    "op6_ppm_language": op6_ppm_language,
+    "op8_permutation_index": op8_permutation_index,
     "op9_greedy_tiling": op9_greedy_tiling,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_tool_calls": OP2_SQL}
