@@ -11,6 +11,7 @@ from loanclean.llm.packing import op10_best_fit_packing
 from loanclean.llm.permindex import op8_permutation_index
 from loanclean.llm.pii import op1_contextual_pii
 from loanclean.llm.quality import op4_quality_gam
+from loanclean.llm.repeats import op7_repeats
 from loanclean.llm.simhash import op3_simhash_components
 from loanclean.llm.tiling import op9_greedy_tiling
 from loanclean.llm.tokenfile import op5_token_file
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_gam": op4_quality_gam,
     "op5_token_file": op5_token_file,
     "op6_ppm_language": op6_ppm_language,
+    "op7_repeats": op7_repeats,
     "op8_permutation_index": op8_permutation_index,
     "op9_greedy_tiling": op9_greedy_tiling,
     "op10_best_fit_packing": op10_best_fit_packing,
