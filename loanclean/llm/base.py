@@ -8,12 +8,36 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanclean.sources.staging import stage
+from loanclean.sources.staging import staging_path
 
-__all__ = ["components", "documents", "held_out", "plan_bytes", "shards", "stage", "table"]
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write the table as Parquet into the shared folder and return its scan."""
+    path = staging_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """Set bits of the longs in the only column, modulo ``bits``: a filter of fixed size that misses none of them.
+
+    At most bits / 32 rows of (int, long) reach the driver, through Arrow.
+    """
+    bit = values.toDF("v").where("v is not null").select(F.pmod("v", F.lit(bits)).alias("bit"))
+    got = bit.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[got["at"].to_numpy()] = got["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out.astype("<u4").view(np.uint8)
+
+
+def in_bitmap(filled: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Is the bit of each long set? ``bits`` is a power of two, so sign does not matter."""
+    bit = values.view(np.uint64) & np.uint64(len(filled) * 8 - 1)
+    return (filled[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,20 +6,23 @@ window of LENGTH bytes the one with the least hash is the window's anchor, so eq
 windows have equal anchors at equal places. Neighbouring windows with one anchor make a
 context: the bytes that they cover.
 
-1. Grams that are an anchor once in the whole corpus can't repeat. Anchor grams are
+1. A copy of a whole text with a smaller doc_id goes as a whole and takes no further part.
+2. Grams that are an anchor once in the whole corpus can't repeat. Anchor grams are
    counted (summed per batch first); a bitmap of fixed size over those that occur again
    drops most other anchors before anything else moves. It drops no repeat.
-2. Equal contexts are merged before the shuffle, with their least doc_id.
 3. The contexts of a gram form one part of an enhanced suffix array: sorted by the bytes
    from the anchor on, with the common prefix lengths of neighbours. A stack scan gives
    the interval tree. Within an interval the contexts are grouped by the bytes to the
    left; a group goes on leftwards as one while its left characters agree and is output
    when they differ, or at the interval's limit: a maximal repeat with all occurrences.
-   Each occurrence learns the least doc_id of each of its windows.
+   Each context learns the least doc_id of each of its windows. Equal contexts are one
+   row of a batch, so a part holds a context once per batch at most.
 4. A gram with more than ``CROWD`` different contexts (the edges of a very common line)
    would be one task: its windows are grouped one by one, merged before the shuffle.
 5. Windows with a smaller doc_id make the removed spans of a document.
 
+Bitmaps only spare work: where one lets a row pass in vain, an exact join follows.
+
 Strings are judged on the input. Null texts are empty. Rows without doc_id take no part
 and stay whole; rows of one doc_id are not smaller than each other.
 """
@@ -27,24 +30,26 @@ and stay whole; rows of one doc_id are not smaller than each other.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanclean.llm.base import documents, shards, stage
+from loanclean.llm.base import bitmap, documents, in_bitmap, shards, stage
 
 LENGTH = 50
 GRAM = 20
 CROWD = 4096
 BITMAP_BITS = 1 << 26
-_SLICE = 4 << 20
+DOC_BITS = 1 << 24
+_SLICE = 1 << 18  # bytes at a time: arrays of a slice stay in the cache
 _MASK = np.uint64((1 << 24) - 1)
 _MUL = 0x9E3779B97F4A7C15
-_WORD = (1 << 64) - 1
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -61,11 +66,11 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def anchors(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
-    """For each context of the pieces: gram hash, piece, start in the piece, anchor's offset, number of windows."""
+    """For each context of the pieces: gram hash, piece, start in the piece, anchor's offset, windows, and a mark of its ends."""
     none = np.zeros(0, np.int64)
     size = np.array([len(p) for p in pieces], np.int64)
     if size.sum() < LENGTH:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     h = gram_hashes(np.frombuffer(b"".join(pieces), np.uint8))
     least = (h & ~_MASK) | np.arange(len(h), dtype=np.uint64)  # ties to the left
     span = LENGTH - GRAM + 1
@@ -84,64 +89,95 @@ def anchors(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     p = at[q]
     first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (piece[1:] != piece[:-1])])) if len(p) else none
     count = np.diff(np.append(first, len(p)))
-    return h[p[first]].view(np.int64), piece[first], begin[first], p[first] - q[first], count
+    ends_mark = h[q[first]] ^ (h[q[first] + count + LENGTH - GRAM - 1] << np.uint64(1)) ^ count.astype(np.uint64) if len(p) else none.view(np.uint64)
+    return h[p[first]].view(np.int64), piece[first], begin[first], p[first] - q[first], count, ends_mark
 
 
-def _sliced(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def _sliced(batch: pa.RecordBatch, rows: list[int]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Rows, offsets and bytes of the batch's texts, about _SLICE bytes at a time; longer texts in overlapping pieces."""
-    rows, offsets, pieces, size = [], [], [], 0
-    for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-        raw = (text or "").encode("utf-8", "surrogatepass")
+    kept, offsets, pieces, size = [], [], [], 0
+    texts = batch.column(batch.schema.get_field_index("text"))
+    for i in rows:
+        raw = (texts[i].as_py() or "").encode("utf-8", "surrogatepass")
         for at in range(0, max(1, len(raw) - LENGTH + 1), _SLICE):
             piece = raw[at : at + _SLICE + LENGTH - 1]
-            if size + len(piece) > 2 * _SLICE:
-                yield rows, offsets, pieces
-                rows, offsets, pieces, size = [], [], [], 0
-            rows.append(i)
+            if size and size + len(piece) > _SLICE:
+                yield kept, offsets, pieces
+                kept, offsets, pieces, size = [], [], [], 0
+            kept.append(i)
             offsets.append(at)
             pieces.append(piece)
             size += len(piece)
     if pieces:
-        yield rows, offsets, pieces
-
-
-def _gram_counts(texts: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, pieces in _sliced(batch):
-                g, n = np.unique(anchors(pieces)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(np.minimum(n, 2), pa.int64())], names=["gram", "n"])
+        yield kept, offsets, pieces
 
-    return texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
+def _taking_part(batch: pa.RecordBatch, copies: np.ndarray) -> list[int]:
+    """Rows of the batch that are no copy for sure (bit not set), or known to be none (column ``sure``)."""
+    doc, sure = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+    return np.flatnonzero(sure | ~in_bitmap(copies, doc)).tolist()
 
-def _bitmap(grams: DataFrame) -> np.ndarray:
-    """Bits of the grams; at most BITMAP_BITS / 32 rows reach the driver, through Arrow."""
-    bits = grams.select(F.pmod("gram", F.lit(BITMAP_BITS)).alias("bit"))
-    got = bits.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits")).toPandas()
-    out = np.zeros(BITMAP_BITS // 32, np.uint32)
-    out[got["at"].to_numpy()] = got["bits"].to_numpy(np.int64).astype(np.uint32)
-    return out.astype("<u4").view(np.uint8)
 
+def _gram_counts(texts: DataFrame, copies: np.ndarray) -> DataFrame:
+    """(gram, n, contexts): occurrences as anchor, 2 standing for more in a batch, and different contexts, summed over batches."""
 
-def _contexts(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """doc_id, digest, start, gram, at (the anchor's offset) and context of the anchors whose bit is set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [anchors(pieces) for _, _, pieces in _sliced(batch, _taking_part(batch, copies))]
+            if not got:
+                continue
+            gram, mark = np.concatenate([g[0] for g in got]), np.concatenate([g[5] for g in got])
+            order = np.lexsort((mark, gram))
+            gram, mark = gram[order], mark[order]
+            new = np.concatenate([[True], gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, bool)
+            first = np.flatnonzero(new)
+            n = np.diff(np.append(first, len(gram)))
+            other = np.cumsum(new | np.concatenate([[True], mark[1:] != mark[:-1]])) if len(gram) else np.zeros(0, np.int64)
+            contexts = other[first + n - 1] - other[first] + 1
+            yield pa.RecordBatch.from_arrays([pa.array(gram[first], pa.int64()), pa.array(np.minimum(n, 2), pa.int32()), pa.array(contexts, pa.int32())], names=["gram", "n", "contexts"])
+
+    counted = texts.mapInArrow(run, "gram long, n int, contexts int")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("contexts").alias("contexts"))
+
+
+def _contexts(texts: DataFrame, copies: np.ndarray, again: np.ndarray, crowds: np.ndarray) -> DataFrame:
+    """doc_id, digest, start, gram and hash of the contexts whose anchor's bit is set in ``again``.
+
+    The first of equal ones in a batch also has the anchor's offset, the context, the
+    least and largest doc_id of its equals in the batch, and crowd: its bit in ``crowds``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            for rows, offsets, pieces in _sliced(batch):
-                gram, piece, start, at, count = anchors(pieces)
-                bit = gram.view(np.uint64) % np.uint64(BITMAP_BITS)
-                keep = np.flatnonzero(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
-                if not len(keep):
-                    continue
+            parts = []
+            for rows, offsets, pieces in _sliced(batch, _taking_part(batch, copies)):
+                gram, piece, start, at, count, _ = anchors(pieces)
+                keep = np.flatnonzero(in_bitmap(again, gram))
                 piece, start, size = piece[keep], start[keep], count[keep] + LENGTH - 1
-                context = [pieces[p][s : s + n] for p, s, n in zip(piece.tolist(), start.tolist(), size.tolist())]
-                take = pa.array(np.array(rows)[piece], pa.int64())
-                columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(start + np.array(offsets)[piece], pa.int64()), pa.array(gram[keep], pa.int64()), pa.array(at[keep], pa.int32()), pa.array(context, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "start", "gram", "at", "context"])
-
-    return texts.mapInArrow(run, "doc_id long, digest long, start long, gram long, at int, context binary")
+                found = [pieces[p][s : s + n] for p, s, n in zip(piece.tolist(), start.tolist(), size.tolist())]
+                parts.append((np.array(rows, np.int64)[piece], start + np.array(offsets, np.int64)[piece], gram[keep], at[keep], found))
+            if not parts:
+                continue
+            row, start, gram, at = (np.concatenate([p[k] for p in parts]) for k in range(4))
+            context = [c for p in parts for c in p[4]]
+            code = np.fromiter(map(digest, context), np.uint64, len(context)).view(np.int64)
+            doc = batch.column(0).to_numpy(zero_copy_only=False)[row]
+            order = np.lexsort((doc, code, gram))
+            g, c = gram[order], code[order]
+            first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])) if len(g) else np.zeros(0, np.int64)
+            last = np.append(first[1:], len(g)) - 1
+            low, high, lead = np.zeros(len(g), np.int64), np.zeros(len(g), np.int64), np.zeros(len(g), bool)
+            lead[order[first]], low[order[first]], high[order[first]] = True, doc[order[first]], doc[order[last]]
+            off = ~lead
+            columns = [
+                pa.array(doc, pa.int64()), batch.column(1).take(pa.array(row)), pa.array(start, pa.int64()), pa.array(gram, pa.int64()), pa.array(code, pa.int64()),
+                pa.array(at, pa.int32(), mask=off), pa.array([x if k else None for x, k in zip(context, lead.tolist())], pa.binary()),
+                pa.array(low, mask=off), pa.array(high, mask=off), pa.array(in_bitmap(crowds, gram), mask=off),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "start", "gram", "hash", "at", "context", "low", "high", "crowd"])
+
+    return texts.mapInArrow(run, "doc_id long, digest long, start long, gram long, hash long, at int, context binary, low long, high long, crowd boolean")
 
 
 def prefix_intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int, int]]:
@@ -192,7 +228,7 @@ def maximal_groups(members: list[int], lefts: list[bytes], low: int, high: int)
 
 def _least_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
     """(gram, hash, first, last, least): runs of windows of each context that a smaller document than its largest has."""
-    pdf = pdf.reset_index(drop=True)
+    pdf = pdf.groupby(["gram", "hash"], as_index=False).agg({"at": "first", "context": "first", "low": "min", "high": "max"})
     at, context = pdf["at"].tolist(), pdf["context"].tolist()
     right = [bytes(c[a:]) for c, a in zip(context, at)]
     lefts = [bytes(c[:a]) for c, a in zip(context, at)]
@@ -239,27 +275,50 @@ def _least_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"gram": gram[m], "hash": pdf["hash"].to_numpy()[m], "first": a, "last": b, "least": d})
 
 
+def _maybe(bits: np.ndarray):
+    """Is the bit of a doc_id set?"""
+
+    @F.pandas_udf("boolean")
+    def test(doc: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bits, doc.to_numpy(np.int64)))
+
+    return test(F.col("doc_id"))
+
+
+def _copies(texts: DataFrame) -> DataFrame:
+    """(doc_id, digest, size) of the texts that a document with a smaller doc_id has as a whole."""
+    keys = stage(texts.select("doc_id", "digest", F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").alias("size")), "keys")
+    first = keys.groupBy("sha").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("sha", "low")
+    return keys.join(first, "sha").where("doc_id > low").select("doc_id", "digest", "size").distinct()
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, spans): merged byte spans (start, stop) of each document that repeat from a smaller doc_id."""
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
-    again = stage(_gram_counts(texts).where("n > 1").select("gram"), "grams")
-    found = stage(_contexts(texts, _bitmap(again)).withColumn("hash", F.xxhash64("context")), "contexts")
-    merged = found.groupBy("gram", "hash", "at", "context").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    merged = stage(merged, "merged")
-    sizes = merged.groupBy("gram").agg(F.count("*").alias("n"), F.min("low").alias("gram_low"), F.max("high").alias("gram_high"))
-    sizes = stage(sizes.where("gram_low < gram_high").select("gram", "n"), "sizes")
-    some = merged.join(sizes, "gram")
-    parts = shards(docs, 2)
+    """(doc_id, digest, spans): byte spans (a, b) of each document that repeat from a smaller doc_id, sorted; they may overlap."""
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
+    copies = stage(_copies(texts), "copies")
+    marked = bitmap(copies.select("doc_id"), DOC_BITS)
+    odd = stage(texts.where(_maybe(marked)).join(copies, ["doc_id", "digest"], "left_anti"), "odd")  # marked, but no copies
+    columns = lambda df, sure: df.select("doc_id", "digest", F.lit(sure).alias("sure"), "text")
+    reps = columns(texts, False).unionByName(columns(odd, True))
+    again = stage(_gram_counts(reps, marked).where("n > 1").select("gram", "contexts"), "grams")
+    crowds = bitmap(again.where(F.col("contexts") > CROWD).select("gram"), DOC_BITS)
+    found = stage(_contexts(reps, marked, bitmap(again.select("gram"), BITMAP_BITS), crowds), "contexts")
+
+    lead = found.where("context is not null").select("gram", "hash", "at", "context", "low", "high", "crowd")
     schema = "gram long, hash long, first long, last long, least long"
-    by_tree = some.where(F.col("n") <= CROWD).groupBy(F.pmod("gram", F.lit(parts)).alias("part")).applyInPandas(_least_of_part, schema)
-    windows = some.where(F.col("n") > CROWD).select("gram", "hash", "low", "high", "context", F.explode(F.sequence(F.lit(0), F.length("context") - LENGTH)).alias("j"))
+    by_tree = lead.where("not crowd").groupBy(F.pmod("gram", F.lit(shards(docs, 2))).alias("part")).applyInPandas(_least_of_part, schema)
+    windows = lead.where("crowd").select("gram", "hash", "low", "high", "context", F.explode(F.sequence(F.lit(0), F.length("context") - LENGTH)).alias("j"))
     windows = windows.select("gram", "hash", "low", "high", F.col("j").cast("long").alias("j"), F.expr(f"substring(context, j + 1, {LENGTH})").alias("window"))
-    small = windows.groupBy("window").agg(F.min("low").alias("least"))
-    by_window = windows.join(small, "window").where("least < high").select("gram", "hash", F.col("j").alias("first"), F.col("j").alias("last"), "least")
-    answers = by_tree.unionByName(by_window)
-    hits = found.drop("context", "at").join(answers, ["gram", "hash"]).where("least < doc_id")
-    runs = hits.select("doc_id", "digest", (F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last") + LENGTH).alias("b")).distinct()
-    return runs.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
+    least = windows.groupBy("window").agg(F.min("low").alias("least"))
+    by_window = windows.join(least, "window").where("least < high").select("gram", "hash", F.col("j").alias("first"), F.col("j").alias("last"), "least").distinct()
+    # one row of a context from now on: it may lead in several batches
+    run = F.struct("first", "last", "least")
+    answers = stage(by_tree.unionByName(by_window).groupBy("gram", "hash").agg(F.collect_set(run).alias("runs")), "answers")
+    hits = found.select("doc_id", "digest", "start", "gram", "hash").join(answers, ["gram", "hash"])
+    hits = hits.select("doc_id", "digest", "start", F.explode("runs").alias("r")).where("r.least < doc_id")
+    spans = hits.select("doc_id", "digest", (F.col("start") + F.col("r.first")).alias("a"), (F.col("start") + F.col("r.last") + LENGTH).alias("b"))
+    whole = copies.where(F.col("size") >= LENGTH).select("doc_id", "digest", F.lit(0).cast("long").alias("a"), F.col("size").cast("long").alias("b"))
+    return spans.unionByName(whole).groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
 def cut(text: str | None, spans) -> tuple[int, int, int, str]:
@@ -281,15 +340,20 @@ def cut(text: str | None, spans) -> tuple[int, int, int, str]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    spans = stage(repeated_spans(docs), "spans").toDF("doc_id__", "digest__", "spans")
+    spans = stage(repeated_spans(docs), "spans")
+    touched = _maybe(bitmap(spans.select("doc_id"), DOC_BITS))
 
     @F.pandas_udf("struct<n_bytes long, n_removed long, n_spans long, kept_sha256 string>")
     def digest(text: pd.Series, found: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([cut(t, s) for t, s in zip(text, found)], columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
-    joined = rows.join(spans, (F.col("doc_id") == F.col("doc_id__")) & (F.col("digest") == F.col("digest__")), "left")
-    return joined.select("doc_id", digest("text", "spans").alias("d")).select("doc_id", "d.*")
+    named = rows.where("doc_id is not null")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    none = F.lit(0).cast("long")
+    whole = [size.alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")]
+    cuts = named.where(touched).join(spans, ["doc_id", "digest"], "left").select("doc_id", digest("text", "spans").alias("d")).select("doc_id", "d.*")
+    return reduce(DataFrame.unionByName, [cuts, named.where(~touched).select("doc_id", *whole), rows.where("doc_id is null").select("doc_id", *whole)])
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

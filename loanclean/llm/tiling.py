@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from loanclean.llm import base
 from loanclean.llm.base import documents, stage, table
 
 SEED = 4
@@ -61,8 +62,7 @@ def _seeds(texts: DataFrame, carried: str, kind: str, bitmap: np.ndarray | None
                 h = seed_hashes(tokens)
                 at = np.arange(len(h))
                 if bitmap is not None:
-                    bit = h.view(np.uint64) % np.uint64(BITMAP_BITS)
-                    at = np.flatnonzero(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                    at = np.flatnonzero(base.in_bitmap(bitmap, h))
                 rows.append(np.full(len(at), i))
                 pos.append(at)
                 seed.append(h[at])
@@ -77,16 +77,6 @@ def _seeds(texts: DataFrame, carried: str, kind: str, bitmap: np.ndarray | None
     return texts.mapInArrow(run, f"{kind}, pos int, seed long, n_words int")
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """Set bits of the seeds; at most BITMAP_BITS / 32 rows reach the driver."""
-    bits = seeds.select(F.pmod("seed", F.lit(BITMAP_BITS)).alias("bit"))
-    got = bits.groupBy(F.expr("shiftright(bit, 5)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits")).collect()
-    out = np.zeros(BITMAP_BITS // 32, np.uint32)
-    for r in got:
-        out[r["at"]] = r["bits"]
-    return out.astype("<u4").view(np.uint8)
-
-
 def tiles(pairs: list[tuple[int, int]], n: int = SEED) -> list[tuple[int, int, int]]:
     """Greedy tiles (document word, item word, length) from shared seeds (document word, item word).
 
@@ -138,7 +128,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_digest"), "text").dropDuplicates(["item_id", "item_digest"])
     own = stage(_seeds(items, "item", "item_id long, item_digest long"), "seeds").withColumnRenamed("pos", "item_pos").withColumnRenamed("n_words", "item_words")
-    hits = _seeds(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text"), "doc", "doc_id long, digest long", _bitmap(own))
+    hits = _seeds(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text"), "doc", "doc_id long, digest long", base.bitmap(own.select("seed"), BITMAP_BITS))
     shared = hits.select("doc_id", "digest", "pos", "seed").join(own, "seed")
     key = ["doc_id", "digest", "item_id", "item_digest", "item_words"]
     pairs = shared.groupBy(*key).agg(F.collect_set(F.struct("pos", "item_pos")).alias("pairs"))
