@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     """Set bits of the longs in the only column, modulo ``bits``: a filter of fixed size that misses none of them.
 
-    At most bits / 32 rows of (int, long) reach the driver, through Arrow.
+    Blocks of 2^20 bits are put together in tasks; the driver gets bits / 8 bytes.
     """
+    size = min(bits, 1 << 20)
     bit = values.toDF("v").where("v is not null").select(F.pmod("v", F.lit(bits)).alias("bit"))
-    got = bit.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits")).toPandas()
-    out = np.zeros(bits // 32, np.uint32)
-    out[got["at"].to_numpy()] = got["bits"].to_numpy(np.int64).astype(np.uint32)
-    return out.astype("<u4").view(np.uint8)
+    got = bit.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(size // 32, "<u4")
+        out[pdf["at"].to_numpy() % (size // 32)] = pdf["bits"].to_numpy(np.int64).astype(np.uint32)
+        return pd.DataFrame({"block": [int(pdf["at"].iloc[0]) // (size // 32)], "bytes": [out.tobytes()]})
+
+    filled = np.zeros((bits // size, size // 8), np.uint8)
+    for r in got.groupBy(F.expr(f"at div {size // 32}")).applyInPandas(block, "block int, bytes binary").toLocalIterator():
+        filled[r["block"]] = np.frombuffer(r["bytes"], np.uint8)
+    return filled.ravel()
 
 
 def in_bitmap(filled: np.ndarray, values: np.ndarray) -> np.ndarray:

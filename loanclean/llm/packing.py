@@ -51,18 +51,17 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = Fal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.encoder(path)
         for batch in batches:
-            doc, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in tokens.slices(texts):
-                flat, counts = tokens.with_end(*coder.encode(texts[a:b]))
+            for begin, texts in tokens.slices(batch.column(1)):
+                flat, counts = tokens.with_end(*coder.encode(texts))
                 n = -(-counts // capacity)
-                row = np.repeat(np.arange(b - a), n)
+                row = np.repeat(np.arange(begin, begin + len(texts)), n)
                 piece = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 start = piece * capacity
-                length = np.minimum(capacity, counts[row] - start)
+                length = np.minimum(capacity, counts[row - begin] - start)
                 at = np.append(0, np.cumsum(length))
                 raw = memoryview(flat.astype("<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
-                out = [doc.slice(a, b - a).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                out = [batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if ids:
                     out.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.astype(np.int32))))

@@ -53,12 +53,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, mb: float = 32) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, shard, before = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in tokens.slices(texts):
-                flat, counts = tokens.with_end(*coder.encode(texts[a:b]))
+            for begin, texts in tokens.slices(batch.column(1)):
+                flat, counts = tokens.with_end(*coder.encode(texts))
                 ends = np.cumsum(counts)
                 ids = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat.astype(np.int32)))
-                columns = [batch.column(0).slice(a, b - a), pa.array(np.full(b - a, shard), pa.int32()), pa.array(before + ends - counts, pa.int64()), pa.array(counts, pa.int64()), ids]
+                columns = [batch.column(0).slice(begin, len(texts)), pa.array(np.full(len(texts), shard), pa.int32()), pa.array(before + ends - counts, pa.int64()), pa.array(counts, pa.int64()), ids]
                 before += int(ends[-1])
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "shard", "at", "n_tokens", "ids"])
 

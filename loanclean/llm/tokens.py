@@ -1,24 +1,31 @@
 """Token ids of whole texts by a public tokenizer file, many times faster on natural text.
 
-Both tokenizers used here cut a text at a blank between two other characters
-whatever stands around it, so a text's ids are those of its blank-separated pieces.
-Pieces recur: each is encoded by the library once and its ids are kept (up to a
-number of pieces, then the store starts anew). New pieces are encoded many at a time
-in one string. Texts in which white space meets a blank, and tokenizers that don't
-cut there, go to the library whole.
+Both tokenizers used here cut a text at a blank or newline between two other characters
+whatever stands around it, so a text's ids are those of its pieces between them.
+They also cut between letters and punctuation behind them. Pieces recur: each is
+encoded by the library once and its ids are kept (up to a number of pieces, then the
+store starts anew). New pieces are encoded many at a time in one string. Texts in which
+white space meets a blank or newline, and tokenizers that don't cut there, go to the
+library whole.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import chain
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
 
 _STORE_PIECES = 600_000
 _JOINED = 2000
 _MARK = "~"
-_MEETING = re.compile(r" \s|\s ")
+_TAIL = ".,;:!?|%*&#$-"
+_MEETING = ("  ", " \n", "\n ", "\n\n")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_START = "\0"  # before the first piece of a text
+
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -43,7 +50,8 @@ class Encoder:
             self.mode = "blank"  # a piece's first id begins with the blank before it
             size = self.tok.get_vocab_size()
             self.opens = np.array([(self.tok.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        elif self._ids("ab  ~ c") == self._ids("ab") + self._ids(_MARK) + self._ids("c") and len(self._ids(_MARK)) == 1:
+            self.mark = self._ids("\n")[0]  # keeps pieces apart that begin a line
+        elif self._ids("ab \n ~ c") == self._ids("ab") + self._ids(_MARK) + self._ids("c") and len(self._ids(_MARK)) == 1:
             self.mode = "mark"  # white space is dropped; a mark keeps pieces apart
             self.mark = self._ids(_MARK)[0]
         self._clear()
@@ -52,8 +60,7 @@ class Encoder:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def _clear(self) -> None:
-        self.inner: dict[str, int] = {}
-        self.first: dict[str, int] = {} if self.mode == "blank" else self.inner
+        self.store: dict[str, int] = {}  # pieces; those that begin a line or a text have a newline or _START before
         self.flat, self.used, self.n = np.zeros(1 << 16, np.uint32), 0, 0
         self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -70,24 +77,20 @@ class Encoder:
         self.n += len(lengths)
         return self.n - len(lengths)
 
-    def _alone(self, table: dict[str, int] | None, words: list[str], before: str = "") -> int:
-        got = self.tok.encode_batch_fast([before + w for w in words], add_special_tokens=False) if words else []
+    def _alone(self, texts: list[str]) -> int:
+        got = self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         runs = [e.ids for e in got]
-        at = self._keep(np.fromiter(chain.from_iterable(runs), np.uint32), np.array([len(r) for r in runs], np.int64))
-        if table is not None:
-            table.update(zip(words, range(at, at + len(words))))
-        return at
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode new inner pieces: many joined in one string, the odd ones alone."""
-        before = " " if self.mode == "blank" else ""
-        easy = [w for w in words if w and (self.mode == "blank" or _MARK not in w)]
-        hard = [w for w in words if not w or (self.mode == "mark" and _MARK in w)]
-        groups = [easy[i : i + _JOINED] for i in range(0, len(easy), _JOINED)]
-        joined = ["".join([" " + w for w in g]) if self.mode == "blank" else f" {_MARK} ".join(g) for g in groups]
-        for group, enc in zip(groups, self.tok.encode_batch_fast(joined, add_special_tokens=False) if joined else []):
-            ids = np.array(enc.ids, np.uint32)
-            if self.mode == "blank":
+        return self._keep(np.fromiter(chain.from_iterable(runs), np.uint32), np.array([len(r) for r in runs], np.int64))
+
+    def _joined(self, words: list[str], blank: bool) -> dict[str, int]:
+        """Numbers of the runs of words, encoded many in one string; ``blank``: with a blank before each. Odd ones go alone."""
+        before, between = (" ", " ") if blank else ("", "\n" if self.mode == "blank" else f" {_MARK} ")
+        plain = lambda w: w and w != "\n" and (self.mode == "blank" or _MARK not in w)
+        easy, hard, out = [w for w in words if plain(w)], [w for w in words if not plain(w)], {}
+        for i in range(0, len(easy), _JOINED):
+            group = easy[i : i + _JOINED]
+            ids = np.array(self.tok.encode_batch_fast([before + between.join(group)], add_special_tokens=False)[0].ids, np.uint32)
+            if blank:
                 cut = np.flatnonzero(self.opens[ids])
                 lengths = np.diff(np.append(cut, len(ids)))
             else:
@@ -97,42 +100,74 @@ class Encoder:
             if len(lengths) != len(group):
                 hard += group
                 continue
-            at = self._keep(ids, lengths)
-            self.inner.update(zip(group, range(at, at + len(group))))
-        self._alone(self.inner, hard, before)
+            out.update(zip(group, range(at := self._keep(ids, lengths), at + len(group))))
+        out.update(zip(hard, range(at := self._alone([before + w for w in hard]), at + len(hard))))
+        return out
+
+    def _combined(self, words: list[str], runs: list[tuple[int, int]]) -> None:
+        """Store words whose ids are those of two runs."""
+        if words:
+            run = np.array(runs, np.int64)
+            at = self._keep(self._gather(run.ravel()), self.lengths[run].sum(axis=1))
+            self.store.update(zip(words, range(at, at + len(words))))
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces; letters with punctuation behind, and words behind a newline, are put together."""
+        lead = [w for w in pieces if w[:1] in ("\n", _START)] if self.mode == "blank" else []
+        wanted = [w for w in pieces if w[:1] not in ("\n", _START)] if lead else list(pieces)
+        cut: dict[str, tuple[str, str]] = {}
+        for w in wanted:
+            if w and w[-1] in _TAIL:
+                stem = w.rstrip(_TAIL)
+                if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                    cut[w] = (stem, w[len(stem) :])
+        stems = {s for s, _ in cut.values() if s not in self.store}
+        self.store.update(self._joined([w for w in wanted if w not in cut and w not in stems] + list(stems), self.mode == "blank"))
+        bare = self._joined(list({t for _, t in cut.values()} | {w[1:] for w in lead} | {"\n"} if lead else {t for _, t in cut.values()}), False)
+        words = [w for w in cut if w not in self.store]
+        self._combined(words, [(self.store[cut[w][0]], bare[cut[w][1]]) for w in words])
+        self.store.update((w, bare[w[1:]]) for w in lead if w[0] == _START)
+        words = [w for w in lead if w[0] == "\n"]
+        self._combined(words, [(bare["\n"], bare[w[1:]]) for w in words])
+
+    def _gather(self, run: np.ndarray) -> np.ndarray:
+        """The ids of the stored runs, one after the other."""
+        lengths = self.lengths[run]
+        ends = np.cumsum(lengths)
+        return self.flat[np.repeat(self.starts[run] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has. Null is empty."""
         if self.n > _STORE_PIECES:
             self._clear()
-        split = [
-            None if not t else t if self.mode == "whole" or (self.mode == "blank" and _MEETING.search(t)) else t.split(" ") for t in texts
-        ]
-        parts = [p for p in split if isinstance(p, list)]
-        if self.mode == "blank":
-            self._alone(self.first, list({p[0] for p in parts if p[0] not in self.first}))
-        self._learn(list({w for p in parts for w in (p[1:] if self.mode == "blank" else p) if w not in self.inner}))
-        whole = [p for p in split if isinstance(p, str)]
-        at = self._alone(None, whole)
-        runs: list[int] = []
-        pieces = np.zeros(len(texts), np.int64)
-        for i, p in enumerate(split):
-            if isinstance(p, list):
-                runs.append(self.first[p[0]])
-                runs += map(self.inner.__getitem__, p[1:])
-                pieces[i] = len(p)
-            elif p is not None:
-                runs.append(at)
-                at += 1
-                pieces[i] = 1
-        run = np.array(runs, np.int64)
-        lengths = self.lengths[run]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[run] - (ends - lengths), lengths) + np.arange(total)]
-        upto = np.concatenate([[0], ends])
-        counts = np.diff(upto[np.concatenate([[0], np.cumsum(pieces)])])
-        return ids, counts
+        pieces: list[str] = []
+        counts = np.zeros(len(texts), np.int64)
+        odd: dict[int, str] = {}  # place of a text that goes whole
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if self._whole(t):
+                odd[len(pieces)] = t
+                pieces.append("")
+                counts[i] = 1
+                continue
+            own = (_START + t).replace("\n", " \n").split(" ") if self.mode == "blank" else t.replace("\n", " ").split(" ")
+            pieces += own
+            counts[i] = len(own)
+        run = np.fromiter(map(self.store.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(run < 0).tolist()
+        self._learn({pieces[k] for k in new})
+        run[new] = [self.store[pieces[k]] for k in new]
+        run[list(odd)] = self._alone(list(odd.values())) + np.arange(len(odd))
+        upto = np.concatenate([[0], np.cumsum(self.lengths[run])])
+        return self._gather(run), np.diff(upto[np.concatenate([[0], np.cumsum(counts)])])
+
+    def _whole(self, text: str) -> bool:
+        if self.mode != "blank":
+            return self.mode == "whole"
+        if any(m in text for m in _MEETING) or _START in text:
+            return True
+        return not text.isprintable() and _OTHER_SPACE.search(text.replace("\n", "")) is not None
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -140,12 +175,14 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end: int = 0) -> tuple[np.ndar
     return np.insert(ids, np.cumsum(counts), np.uint32(end)), counts + 1
 
 
-def slices(texts: list[str | None], most: int = 4_000_000) -> list[tuple[int, int]]:
-    """Ranges of neighbouring texts with about ``most`` characters each (a longer text is a range of its own)."""
-    out, begin, size = [], 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t or "") > most:
-            out.append((begin, i))
-            begin, size = i, 0
-        size += len(t or "")
-    return [*out, (begin, len(texts))] if len(texts) else []
+def slices(column: pa.Array, most: int = 1_000_000, rows: int = 1000) -> Iterator[tuple[int, list[str | None]]]:
+    """Neighbouring texts with their first row, about ``most`` characters at a time (a longer text comes alone)."""
+    for start in range(0, len(column), rows):
+        texts = column.slice(start, rows).to_pylist()
+        begin, size = 0, 0
+        for i, t in enumerate(texts):
+            if size and size + len(t or "") > most:
+                yield start + begin, texts[begin:i]
+                begin, size = i, 0
+            size += len(t or "")
+        yield start + begin, texts[begin:]
