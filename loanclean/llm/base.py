@@ -68,8 +68,14 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def shards(df: DataFrame, mb: float, least: int = 8) -> int:
-    """How many shards of about ``mb`` MB the table makes: grows with the table, has no upper limit."""
-    return max(least, math.ceil(plan_bytes(df) / (mb * 1e6)))
+    """How many shards of about ``mb`` MB the table makes: grows with the table, has no upper limit.
+
+    Where Spark has no estimate (a table that is no scan of files), the session's shuffle partitions.
+    """
+    size = plan_bytes(df)
+    if size >= 1 << 60:
+        return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, math.ceil(size / (mb * 1e6)))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -43,10 +43,10 @@ def usable(rows: DataFrame) -> DataFrame:
 def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> np.ndarray:
     """Pivots out of at most ``sample`` vectors taken by a hash: far from each other in turn, copies once."""
     got = [r["v"] for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()]
-    size = Counter(map(len, got)).most_common(1)[0][0] if got else 0
-    x = np.array([v for v in got if len(v) == size], float).reshape(-1, size)
-    if not len(x):
-        return x
+    if not got:
+        return np.zeros((0, 0))
+    size = Counter(map(len, got)).most_common(1)[0][0]
+    x = np.array([v for v in got if len(v) == size], float)
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     picked, near = [0], unit @ unit[0]
     while len(picked) < min(pivots, len(x)) and near.min() < 1 - 1e-9:

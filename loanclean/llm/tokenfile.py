@@ -60,6 +60,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, mb: float = 32) ->
                 columns = [batch.column(0).slice(begin, len(texts)), pa.array(np.full(len(texts), shard), pa.int32()), pa.array(before + ends - counts, pa.int64()), pa.array(counts, pa.int64()), ids]
                 before += int(ends[-1])
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "shard", "at", "n_tokens", "ids"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     ordered = rows.repartitionByRange(shards(docs, mb), "doc_id").sortWithinPartitions("doc_id", "text")
@@ -80,11 +81,14 @@ def digests(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(3)
-            at = (np.asarray(ids.offsets) - ids.offsets[0].as_py()).tolist()
-            raw = memoryview(ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes())
-            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b - a for a, b in zip(at, at[1:])], pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                ids = part.column(3)
+                at = (np.asarray(ids.offsets) - ids.offsets[0].as_py()).tolist()
+                raw = ids.flatten().to_numpy().astype("<u4", copy=False)
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([b - a for a, b in zip(at, at[1:])], pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            pa.default_memory_pool().release_unused()
 
     return rows.select("doc_id", "start", "n_tokens", "ids").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
