@@ -32,7 +32,7 @@ HEADLINE = [
     "note_repair",
     "category_profile",
     "jaro_winkler_values",
-    "gen_loans",
+    "whole_job",
     "dirt_log",
 ]
 

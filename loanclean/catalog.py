@@ -23,7 +23,7 @@ from loanclean.sources.text_csv import null_cells, read_text_csv, write_csv
 from loanclean.values import LOAN_COLUMNS, NUMERIC_COLUMNS
 
 # Words of the advisor notes that need no second look.
-NOTE_WORDS = ["stable", "income", "employed", "years", "verified", "via", "pay"]
+NOTE_WORDS = ["steady", "income", "employed", "years", "verified"]
 
 QUERIES = {}
 
@@ -238,16 +238,23 @@ def duplicate_flags(spark, sf):
     return linkage.duplicate_flags(link, _confirmed(link)).select(F.col("id").alias("customer_id"), "duplicate_of")
 
 
+@query
+def verdict_flags(spark, sf):
+    """Flags with verdicts on gray pairs that name the earlier record first."""
+    link = _link(spark, sf)
+    turned = link.pairs.where("decision = 'gray' and address_score < 1").select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))
+    return linkage.duplicate_flags(link, turned).select(F.col("id").alias("customer_id"), "duplicate_of")
+
+
 @query
 def flags_from_pairs(spark, sf):
-    auto = _link(spark, sf).pairs.where("decision = 'auto_dup' and profile_a <> profile_b")
+    auto = _link(spark, sf).pairs.where("decision = 'auto_dup'")
     return linkage.flags_from_pairs(auto, "pos_b").select(F.col("id").alias("customer_id"), "duplicate_of")
 
 
 @query
 def repeated_keys(spark, sf):
-    auto = _link(spark, sf).pairs.where("decision = 'auto_dup' and profile_a <> profile_b")
-    return quality.repeated_keys(auto, "id_a")
+    return quality.repeated_keys(final_merge(spark, sf).where("is_duplicate"))
 
 
 @query
@@ -268,6 +275,13 @@ def final_merge(spark, sf):
     return merging.final_merge(cleaning.clean_layer1(raw).drop("row_pos"), layer2, flags)
 
 
+@query
+def whole_job(spark, sf):
+    verdicts = _confirmed(_link(spark, sf)).select(F.col("id_a").alias("record_a_id"), F.col("id_b").alias("record_b_id"), F.lit(True).alias("is_duplicate"))
+    raw = _raw(spark, sf).select(*LOAN_COLUMNS, "row_pos")
+    return jobs.clean_loans(raw, layer2=fixture.layer2(spark, sf), verdicts=verdicts).final
+
+
 def _min_gap_updates(spark, sf) -> DataFrame:
     queue = escalation.recheck_queue(dating.date_rule_check(fixture.layer2(spark, sf), strict=True), _raw(spark, sf))
     solved = dating.resolve_date_pairs(queue, policy="min_gap").where(~F.col("is_ambiguous"))
@@ -283,7 +297,9 @@ def keyed_update(spark, sf):
 
 @query
 def pass2_upsert(spark, sf):
-    return merging.replace_rows(fixture.layer2(spark, sf), _min_gap_updates(spark, sf))
+    layer2, updates = fixture.layer2(spark, sf), _min_gap_updates(spark, sf)
+    again = merging.keyed_update(layer2.join(updates, "customer_id", "left_semi"), updates)
+    return merging.replace_rows(layer2, again)
 
 
 @query
@@ -362,7 +378,7 @@ def resume_todo(spark, sf):
 @query
 def resume_union(spark, sf):
     done = fixture.layer2(spark, sf)
-    new = escalation.still_to_do(_raw(spark, sf), done).select("customer_id", "advisor_notes")
+    new = escalation.still_to_do(_raw(spark, sf), done).select(*done.columns)
     return escalation.append_done(done, new)
 
 

@@ -61,7 +61,7 @@ RATE = _cents("531 + (k * 37) % 2500")
 INCOME = _cents("1500000 + (k * 7717) % 38500000")
 DTI = _cents("(k * 53) % 4500")
 FICO = _text("600 + k % 251")
-NOTE = f"concat('Stable income, employed ', {_text('1 + k % 10')}, ' years, verified via pay stubs.')"
+NOTE = f"concat('Steady income, employed ', {_text('1 + k % 10')}, ' years, papers verified.')"
 APP, ISS = "app", "iss"
 
 # column: (clean value, [(condition, dirty value), ...])

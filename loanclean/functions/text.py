@@ -74,10 +74,11 @@ def sentence_case(col: Column) -> Column:
 
 
 def repair_note(note: Column, typos: list[tuple[str, str]] = NOTE_TYPOS) -> Column:
-    """Undo all-capitals text and put known misspellings right, in a squeezed note."""
+    """Undo all-capitals text and put known misspellings right in any case, in a squeezed note."""
     note = F.when((note == F.upper(note)) & (note != F.lower(note)), sentence_case(note)).otherwise(note)
     for right, wrong in typos:
-        note = F.replace(note, F.lit(wrong), F.lit(right))
+        begun = F.replace(note, F.lit(wrong.capitalize()), F.lit(right.capitalize()))
+        note = F.regexp_replace(begun, f"(?i){wrong}", right)
     return note
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loanclean.operators.positions import assign_batches, index_by_digest
 from loanclean.sources.staging import stage
-from loanclean.values import BATCH_SIZE, ESCALATED_COLUMNS, MAX_ATTEMPTS
+from loanclean.values import BATCH_SIZE, CONCURRENCY, ESCALATED_COLUMNS, MAX_ATTEMPTS
 
 Resolver = Callable[[str], str]
 
@@ -51,13 +51,13 @@ def pair_batches(payload: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
 
 
 def resolve_batches(
-    batches: DataFrame, resolver: Resolver, field: str = "records", max_attempts: int = MAX_ATTEMPTS
+    batches: DataFrame, resolver: Resolver, field: str = "records", max_attempts: int = MAX_ATTEMPTS, concurrency: int = CONCURRENCY
 ) -> DataFrame:
     """Call the resolver for every batch, up to ``max_attempts`` times.
 
     A reply counts when it is JSON and its ``field`` lists as many items as the
-    request. A batch that never gets one ends with status ``failed``. The number
-    of partitions decides how many calls run at a time. A lost task calls again
+    request. A batch that never gets one ends with status ``failed``. At most
+    ``concurrency`` calls run at a time, one per partition. A lost task calls again
     for its batches, so write the result before reading it more than once.
     """
 
@@ -80,7 +80,7 @@ def resolve_batches(
             out = pd.DataFrame(done, columns=["reply", "status", "attempts", "error"], index=part.index)
             yield pd.concat([part[["batch_id", "n", "request"]], out], axis=1)
 
-    return batches.select("batch_id", "n", "request").mapInPandas(run, RESULT_SCHEMA)
+    return batches.select("batch_id", "n", "request").repartition(concurrency, "batch_id").mapInPandas(run, RESULT_SCHEMA)
 
 
 def check_replies(replies: DataFrame, schema: str = RECORDS_SCHEMA) -> DataFrame:

@@ -192,7 +192,7 @@ def find_duplicates(
     keep = stage if staged else (lambda table, name: table)
     rows = keep(block_rows(df, key, position), "link-rows")
     prof = keep(profiles(rows), "link-profiles")
-    pairs = keep(scored_pairs(prof, large_blocks(rows, tile_profiles), low, high), "link-pairs")
+    pairs = keep(scored_pairs(prof, large_blocks(prof, tile_profiles), low, high), "link-pairs")
     return Linkage(rows.select("id", "pos", "profile", *BLOCK), prof, pairs)
 
 
@@ -283,25 +283,39 @@ def last_partner(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def judged_pairs(link: Linkage, confirmed: DataFrame) -> DataFrame:
+    """The gray pairs that verdicts (id_a, id_b) mean: any row of either profile, either way round."""
+    at = link.rows.select("id", "profile").distinct()
+    meant = (
+        confirmed.select("id_a", "id_b").distinct()
+        .join(at.toDF("id_a", "p"), "id_a")
+        .join(at.toDF("id_b", "q"), "id_b")
+        .select(F.least("p", "q").alias("low"), F.greatest("p", "q").alias("high"))
+        .distinct()
+    )
+    gray = link.pairs.where(F.col("decision") == "gray").withColumns({"low": F.least("profile_a", "profile_b"), "high": F.greatest("profile_a", "profile_b")})
+    return gray.join(meant, ["low", "high"], "left_semi").select(link.pairs.columns)
+
+
 def duplicate_flags(link: Linkage, confirmed: DataFrame | None = None) -> DataFrame:
     """Flagged rows with the record they duplicate.
 
-    ``confirmed`` holds (id_a, id_b) of gray pairs that were judged duplicates;
-    their partner takes precedence over one found by the score.
+    ``confirmed`` holds (id_a, id_b) of records judged duplicates, gray or not.
+    Each flags its own ``id_a`` with the ``id_b`` it names (of several, the
+    largest). A verdict on a gray pair also speaks for the copies of its two
+    records, which get their latest earlier partner. Both take precedence over
+    a partner found by the score, the named one over all.
     """
     found = last_partner(link.rows, link.pairs.where(F.col("decision") == "auto_dup"))
     if confirmed is None:
         return found
-    gray = link.pairs.where(F.col("decision") == "gray")
-    judged = last_partner(link.rows, gray.join(confirmed.select("id_a", "id_b").distinct(), ["id_a", "id_b"], "left_semi"))
-    merged = found.alias("f").join(judged.alias("j"), "id", "full")
-    return merged.select("id", F.coalesce("j.duplicate_of", "f.duplicate_of").alias("duplicate_of"))
-
-
-def smallest_id_flags(flags: DataFrame) -> DataFrame:
-    """The same links turned so that the larger id is the duplicate of the smaller one."""
-    turned = flags.select(F.greatest("id", "duplicate_of").alias("id"), F.least("id", "duplicate_of").alias("duplicate_of"))
-    return turned.groupBy("id").agg(F.min("duplicate_of").alias("duplicate_of"))
+    named = confirmed.where("id_a <> id_b").groupBy(F.col("id_a").alias("id")).agg(F.max("id_b").alias("duplicate_of"))
+    ranked = (
+        found.withColumn("rank", F.lit(0))
+        .unionByName(last_partner(link.rows, judged_pairs(link, confirmed)).withColumn("rank", F.lit(1)))
+        .unionByName(named.withColumn("rank", F.lit(2)))
+    )
+    return ranked.groupBy("id").agg(F.max_by("duplicate_of", "rank").alias("duplicate_of"))
 
 
 # ---------------------------------------------------------------- gray pairs

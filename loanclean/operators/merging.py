@@ -17,8 +17,11 @@ def keyed_update(df: DataFrame, new: DataFrame, key: str = "customer_id") -> Dat
 
 
 def replace_rows(df: DataFrame, new: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Drop the rows whose key was done again and append the new rows."""
-    return df.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+    """Drop the rows whose key was done again and append the new rows, which must be whole."""
+    missing = set(df.columns) - set(new.columns)
+    if missing:
+        raise ValueError(f"the new rows lack {sorted(missing)}")
+    return df.join(new.select(key).distinct(), key, "left_anti").unionByName(new.select(df.columns))
 
 
 def final_merge(layer1: DataFrame, layer2: DataFrame, flags: DataFrame, key: str = "customer_id") -> DataFrame:

@@ -174,9 +174,10 @@ _PAIR_OUT = (
     "round(address_score, 9) as address_score, cast(total_score as double) as total_score, decision, n_pairs"
 )
 TABLES["profile_pairs"] = f"select {_PAIR_OUT} from cross_pairs where decision <> 'auto_not' union all select {_PAIR_OUT} from copy_pairs where decision <> 'auto_not'"
-TABLES["flags"] = """select id_a as id, coalesce(arg_max(id_b, pos_b) filter (decision = 'gray' and same_address),
-    arg_max(id_b, pos_b) filter (decision = 'auto_dup')) as duplicate_of
-  from row_pairs where decision = 'auto_dup' or (decision = 'gray' and same_address) group by id_a"""
+TABLES["flags"] = """select id, arg_max(partner, rank) as duplicate_of from (
+    select id_a as id, id_b as partner, pos_b + case when decision = 'gray' then 1000000000000 else 0 end as rank
+    from row_pairs where decision = 'auto_dup' or (decision = 'gray' and same_address)
+    union all select id_a, max(id_b), 2000000000000 from profile_pairs where decision = 'gray' and address_score = 1 group by id_a) r group by id"""
 TABLES["numbered"] = "select *, row_number() over (order by row_pos) - 1 as idx from csv"
 
 # ------------------------------------------------------------------- draws in SQL
@@ -358,7 +359,7 @@ def _note() -> str:
     squeezed = "trim(regexp_replace(advisor_notes, '\\s+', ' ', 'g'))"
     fixed = "case when s = upper(s) and s <> lower(s) then upper(substr(lower(s), 1, 1)) || substr(lower(s), 2) else s end"
     for right, wrong in NOTE_TYPOS:
-        fixed = f"replace({fixed}, '{wrong}', '{right}')"
+        fixed = f"regexp_replace(replace({fixed}, '{wrong.capitalize()}', '{right.capitalize()}'), '{wrong}', '{right}', 'gi')"
     words = _texts(NOTE_WORDS)
     return _with("csv") + (
         f"select customer_id, advisor_notes, coalesce(len(list_filter(regexp_extract_all(lower(advisor_notes), '([a-z]+)', 1), "
@@ -450,8 +451,13 @@ ORACLES: dict[str, str] = {
     "gray_payload": _with("profile_pairs", "csv") + f"select p.id_a, p.id_b, cast({_pair_json('a')} as varchar) as record_a, cast({_pair_json('b')} as varchar) as record_b "
     "from profile_pairs p join csv a on p.id_a = a.customer_id join csv b on p.id_b = b.customer_id where p.decision = 'gray'",
     "duplicate_flags": _with("flags") + "select id as customer_id, duplicate_of from flags",
-    "flags_from_pairs": _with("cross_pairs") + "select id_a as customer_id, arg_max(id_b, pos_b) as duplicate_of from cross_pairs where decision = 'auto_dup' group by 1",
-    "repeated_keys": _with("cross_pairs") + "select count(*) - count(distinct id_a) as repeated from cross_pairs where decision = 'auto_dup'",
+    "flags_from_pairs": _with("profile_pairs", "link") + "select id_a as customer_id, arg_max(id_b, l.pos) as duplicate_of from profile_pairs p join link l on p.id_b = l.id where decision = 'auto_dup' group by 1",
+    "repeated_keys": _with("flags") + "select count(*) - count(distinct id) as repeated from flags",
+    "verdict_flags": _with("row_pairs", "profile_pairs", extra="""found as (select id_a as id, arg_max(id_b, pos_b) as duplicate_of from row_pairs where decision = 'auto_dup' group by 1),
+  verdicts as (select id_b as id, max(id_a) as duplicate_of from profile_pairs where decision = 'gray' and address_score < 1 group by 1),
+  meant as (select id_a as id, arg_max(id_b, pos_b) as duplicate_of from row_pairs where decision = 'gray' and not same_address group by 1)""")
+    + """select id as customer_id, coalesce(v.duplicate_of, m.duplicate_of, f.duplicate_of) as duplicate_of
+      from found f full join meant m using (id) full join verdicts v using (id)""",
     "dup_quality": _with("row_pairs", "loans", extra="""known as (select customer_id as d, concat('LC', cast(100000 + k as varchar)) as o from loans where customer_id like 'DUP%'),
   taken as (select id_a, id_b from row_pairs where decision = 'auto_dup' or (decision = 'gray' and same_address)),
   nums as (select (select count(*) from known) as true_pairs,
@@ -463,7 +469,8 @@ ORACLES: dict[str, str] = {
     + _LAYER1_FROM + " left join overlaid o on m.customer_id = o.customer_id left join flags f on m.customer_id = f.id",
     "keyed_update": _with("min_gap_layer2") + "select * from min_gap_layer2",
     "pass2_upsert": _with("layer2", "min_gap_updates") + """select * from layer2 where customer_id not in (select customer_id from min_gap_updates)
-      union all select customer_id, application_date, issue_date, null as advisor_notes from min_gap_updates""",
+      union all select u.customer_id, coalesce(u.application_date, l.application_date), coalesce(u.issue_date, l.issue_date), l.advisor_notes
+      from min_gap_updates u join layer2 l on u.customer_id = l.customer_id""",
     "min_gap_accuracy": _with("min_gap_layer2", "truth") + _accuracy("min_gap_layer2"),
     "escalation_batches": _with("numbered", extra=_BATCHED) + "select batch_id, n, cast(request as varchar) as request from requests",
     "reply_parse": _with("numbered") + "select customer_id, application_date, issue_date, advisor_notes from numbered where (idx // 100) % 7 not in (3, 5)",
@@ -476,7 +483,7 @@ ORACLES: dict[str, str] = {
       where customer_id not in (select customer_id from layer2)""",
     "resume_todo": _with("csv", "layer2") + "select customer_id, row_pos from csv where customer_id not in (select customer_id from layer2)",
     "resume_union": _with("csv", "layer2") + """select * from layer2 union all
-      select customer_id, null, null, advisor_notes from csv where customer_id not in (select customer_id from layer2)""",
+      select customer_id, application_date, issue_date, advisor_notes from csv where customer_id not in (select customer_id from layer2)""",
     "recheck_queue": _with("csv", "broken") + "select customer_id, application_date, issue_date, advisor_notes from csv where customer_id in (select customer_id from broken)",
     "accuracy": _with("layer2", "truth") + _accuracy("layer2"),
     "solver_accuracy": _with("solved", "truth") + _accuracy("solved", "solved_application_date", "solved_issue_date", "not x.is_ambiguous"),
@@ -512,3 +519,4 @@ ORACLES: dict[str, str] = {
     + "select customer_id, full_name, email, row_number() over (order by md5('7:shuffle:' || customer_id)) - 1 as row_pos, original_id from every",
     "dirt_log": _dirt_log(),
 }
+ORACLES["whole_job"] = ORACLES["final_merge"]

@@ -11,14 +11,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanclean.functions.text import null_if_in
 from loanclean.operators import quality
 from loanclean.operators.cleaning import clean_layer1, repair_notes
-from loanclean.operators.dating import date_rule_check, overlay_dates, resolve_date_pairs, solver_outcomes
+from loanclean.operators.dating import date_pairs, date_rule_check, overlay_dates, resolve_date_pairs, solver_outcomes
 from loanclean.operators.escalation import Resolver, append_done, escalate, judge_pairs, recheck_queue, still_to_do
 from loanclean.operators.linkage import Linkage, duplicate_flags, find_duplicates, pair_payload
 from loanclean.operators.merging import final_merge, keyed_update, replace_rows
-from loanclean.sources.staging import stage
-from loanclean.values import ESCALATED_COLUMNS
+from loanclean.values import ESCALATED_COLUMNS, MISSING_MARKERS
 
 KEY = "customer_id"
 
@@ -36,26 +36,28 @@ def second_layer(
     position: str = "row_pos",
     done: DataFrame | None = None,
     escalate_all: bool = False,
+    vocabulary: list[str] | None = None,
 ) -> DataFrame:
     """Dates and notes of every record.
 
     Rules come first: dates that have one reading and repaired notes need no
-    resolver. Records with open dates go to the resolver, or all records with
+    resolver. Records with open dates go to the resolver; with a ``vocabulary``
+    also those whose repaired note holds other words, or all records with
     ``escalate_all``. Without a resolver, open dates stay null. Rows in
     ``done`` are taken as they are.
     """
     todo = raw if done is None else still_to_do(raw, done)
-    solved = resolve_date_pairs(todo)
-    by_rule = (
-        repair_notes(todo.select(KEY, position, "advisor_notes"))
-        .join(solved, KEY)
-        .select(
-            KEY,
-            F.col("solved_application_date").alias("application_date"),
-            F.col("solved_issue_date").alias("issue_date"),
-            "advisor_notes",
-            "is_ambiguous",
-        )
+    # one projection: notes as the first layer leaves them, dates from the raw text
+    noted = repair_notes(todo.withColumn("advisor_notes", null_if_in(F.col("advisor_notes"), MISSING_MARKERS)), vocabulary=vocabulary)
+    review = F.col("needs_review") if vocabulary is not None else F.lit(False)
+    first = F.when(F.size("date_pairs") == 1, F.try_element_at("date_pairs", F.lit(1)))
+    found = date_pairs(noted).withColumn("_best", first)
+    by_rule = found.select(
+        KEY,
+        F.date_format("_best.first", "yyyy-MM-dd").alias("application_date"),
+        F.date_format("_best.second", "yyyy-MM-dd").alias("issue_date"),
+        "advisor_notes",
+        (F.col("_best").isNull() | review).alias("is_ambiguous"),
     )
     rows = by_rule.drop("is_ambiguous")
     if resolver is not None:
@@ -63,8 +65,8 @@ def second_layer(
         asked = todo.join(chosen.select(KEY), KEY, "left_semi").select(KEY, position, *ESCALATED_COLUMNS)
         answers = escalate(asked, resolver, position)
         rows = replace_rows(rows, answers)
-        # a record whose batch failed keeps what the rules gave it
-        rows = overlay_dates(rows, solved)
+        # sure dates stay, whatever the resolver says; a record whose batch failed keeps what the rules gave it
+        rows = overlay_dates(rows, resolve_date_pairs(todo))
     return rows if done is None else append_done(done, rows)
 
 
@@ -77,6 +79,7 @@ def clean_loans(
     verdicts: DataFrame | None = None,
     escalate_all: bool = False,
     grade: str = "token",
+    vocabulary: list[str] | None = None,
 ) -> Cleaned:
     """Raw text table to the final table.
 
@@ -88,7 +91,7 @@ def clean_loans(
     layer1 = clean_layer1(raw, grade)
     link = find_duplicates(raw, KEY, position, staged=True)
     if layer2 is None:
-        layer2 = second_layer(raw, resolver, position, escalate_all=escalate_all)
+        layer2 = second_layer(raw, resolver, position, escalate_all=escalate_all, vocabulary=vocabulary)
     else:
         layer2 = overlay_dates(layer2, resolve_date_pairs(raw))
     if verdicts is None and pair_resolver is not None:
@@ -138,7 +141,3 @@ def evaluate(
         quality.solver_accuracy(resolve_date_pairs(raw), truth),
         None if link is None or pair_truth is None else quality.duplicate_quality(link, pair_truth),
     )
-
-
-def staged_final(cleaned: Cleaned, path: str | None = None) -> DataFrame:
-    return stage(cleaned.final, "final", path)

@@ -35,8 +35,11 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write the table as Parquet into the shared folder and return its scan."""
+    """Write the table as Parquet into the shared folder and return its scan.
+
+    A given ``path`` must be new: an earlier result there is never replaced.
+    """
     spark = df.sparkSession
     path = path or staging_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -46,6 +46,7 @@ PAIR_HIGH = 2.6
 
 BATCH_SIZE = 100
 MAX_ATTEMPTS = 3
+CONCURRENCY = 10  # resolver calls at a time
 
 ESCALATED_COLUMNS = ["application_date", "issue_date", "advisor_notes"]
 PAIR_FIELDS = ["customer_id", "full_name", "email", "phone", "street_address", "zip_code"]

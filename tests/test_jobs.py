@@ -227,3 +227,42 @@ def test_incremental_cleaning_reads_each_file_once(spark, sf_dir):
     assert 0 < first < done.count() == raw.count()
     assert done.select("customer_id").distinct().count() == done.count()
     assert done.where("dates_open").count() == 8
+
+
+def test_every_verdict_flags_its_record(spark):
+    """Profile A has the rows A1 and A2, B is alike: a verdict counts for any row and either way round."""
+    rows = [("A1", 0, "Ann Lee"), ("A2", 1, "Ann Lee"), ("B", 2, "Anne Lee"), ("C", 3, "Cid Moe")]
+    wide = [(i, p, n, "lee@x.org", "123-456-7890", f"{n} street", "12345") for i, p, n in rows]
+    raw = spark.createDataFrame(wide, "customer_id string, row_pos long, full_name string, email string, phone string, street_address string, zip_code string")
+    link = linkage.find_duplicates(raw)
+    link = linkage.Linkage(link.rows, link.profiles, link.pairs.withColumn("decision", F.when(F.col("profile_a") == F.col("profile_b"), F.lit("auto_not")).otherwise(F.lit("gray"))))
+
+    def flags(a, b):
+        return {r.id: r.duplicate_of for r in linkage.duplicate_flags(link, spark.createDataFrame([(a, b)], "id_a string, id_b string")).collect()}
+
+    assert flags("B", "A2") == {"B": "A2"} and flags("B", "A1") == {"B": "A1"}
+    assert flags("A1", "B")["A1"] == "B" and flags("C", "A1") == {"C": "A1"}
+
+
+def test_unknown_words_go_to_the_resolver_and_markers_go(spark):
+    def resolver(request):
+        return json.dumps({"records": [{**r, "advisor_notes": "ok"} for r in json.loads(request)]})
+
+    rows = [("1", 0, "2019-01-02", "2019-01-12", "Incme stable, custmer relible"), ("2", 1, "2019-01-02", "2019-01-12", "unknown"), ("3", 2, "2019-01-02", "2019-01-12", "Incme stable")]
+    raw = spark.createDataFrame(rows, "customer_id string, row_pos long, application_date string, issue_date string, advisor_notes string")
+    out = jobs.second_layer(raw, resolver, vocabulary=["income", "stable"])
+    assert {r.customer_id: r.advisor_notes for r in out.collect()} == {"1": "ok", "2": None, "3": "Income stable"}
+
+
+def test_calls_run_side_by_side_and_replies_stay(spark, tmp_path):
+    batches = spark.range(40).selectExpr("id as batch_id", "1L as n", "'[]' as request").coalesce(1)
+    assert escalation.resolve_batches(batches, lambda r: '{"records":[1]}', concurrency=7).rdd.getNumPartitions() == 7
+    stage(batches, "replies", str(tmp_path / "r"))
+    with pytest.raises(Exception, match="exists"):
+        stage(batches, "replies", str(tmp_path / "r"))
+
+
+def test_new_rows_must_be_whole(spark):
+    old = spark.createDataFrame([("A", "x")], "customer_id string, u string")
+    with pytest.raises(ValueError, match="lack"):
+        merging.replace_rows(old, old.select("customer_id"))
