@@ -18,7 +18,7 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 
-_STORE_PIECES = 1_000_000
+_STORE_PIECES = 850_000
 _JOINED = 2000
 _MARK = "~"
 _TAIL = ".,;:!?|%*&#$-"
