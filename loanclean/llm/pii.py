@@ -222,7 +222,9 @@ def redact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     def clean(text: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([redact(t, e) for t, e in zip(text, found)], dtype=object)
 
-    out = _with_extra(docs.withColumn("digest", F.xxhash64("text")), extra).withColumn("text", clean("text", "extra"))
+    extra = extra.toDF("doc_id__", "digest__", "extra__")
+    same = docs["doc_id"].cast("long").eqNullSafe(extra["doc_id__"]) & (F.xxhash64(docs["text"]) == extra["digest__"])
+    out = docs.join(extra, same, "left").withColumn("text", clean("text", "extra__"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

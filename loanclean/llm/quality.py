@@ -222,4 +222,4 @@ def op4_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go."""
-    return classify(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(docs.columns)
+    return docs.where(score_column(train(docs, table(spark, sf_dir, "labels"))) >= 0.3)
