@@ -282,6 +282,46 @@ def whole_job(spark, sf):
     return jobs.clean_loans(raw, layer2=fixture.layer2(spark, sf), verdicts=verdicts).final
 
 
+def _trim_notes(request: str) -> str:
+    """A resolver that strips the notes."""
+    records = json.loads(request)
+    for r in records:
+        r["advisor_notes"] = (r["advisor_notes"] or "").strip()
+    return json.dumps({"records": records})
+
+
+def _spell_notes(request: str) -> str:
+    """A resolver that also spells one word right."""
+    return _trim_notes(request).replace("pprs", "papers")
+
+
+@query
+def escalation_notes(spark, sf):
+    """Second layer whose notes with unknown words go to the resolver, like open dates."""
+    raw = _raw(spark, sf).select(*LOAN_COLUMNS, "row_pos")
+    return jobs.second_layer(raw, _spell_notes, vocabulary=[*NOTE_WORDS, "papers"])
+
+
+@query
+def second_pass(spark, sf):
+    return jobs.second_pass(fixture.layer2(spark, sf), _raw(spark, sf), _trim_notes)
+
+
+@query
+def evaluate(spark, sf):
+    """All quality tables of the final table, as (part, item, value)."""
+    raw = _raw(spark, sf).select(*LOAN_COLUMNS, "row_pos")
+    done = jobs.clean_loans(raw, layer2=fixture.layer2(spark, sf))
+    ev = jobs.evaluate(done.final, raw, fixture.truth(spark, sf), done.link, fixture.pair_truth(spark, sf))
+    found = ev.duplicates.select(F.inline(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).alias("value")) for c in ("true_pairs", "true_found", "found")])))
+    parts = {"accuracy": ev.accuracy.select("column", "correct"), "errors": ev.error_classes, "outcomes": ev.outcomes, "solver": ev.solver.select("column", "correct"), "duplicates": found}
+    out = None
+    for name, df in parts.items():
+        part = df.toDF("item", "value").select(F.lit(name).alias("part"), "item", "value")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _min_gap_updates(spark, sf) -> DataFrame:
     queue = escalation.recheck_queue(dating.date_rule_check(fixture.layer2(spark, sf), strict=True), _raw(spark, sf))
     solved = dating.resolve_date_pairs(queue, policy="min_gap").where(~F.col("is_ambiguous"))
@@ -360,14 +400,7 @@ def verdict_parse(spark, sf):
 
 @query
 def escalation_resolve(spark, sf):
-    def resolver(request: str) -> str:
-        records = json.loads(request)
-        for r in records:
-            r["advisor_notes"] = (r["advisor_notes"] or "").strip()
-        return json.dumps({"records": records})
-
-    raw = _raw(spark, sf)
-    return escalation.escalate(raw, resolver, "row_pos", done=fixture.layer2(spark, sf))
+    return escalation.escalate(_raw(spark, sf), _trim_notes, "row_pos", done=fixture.layer2(spark, sf))
 
 
 @query
@@ -427,6 +460,7 @@ def stage_metrics(spark, sf):
         {
             "layer1": (layer1, {f"null_{c}": F.col(c).isNull() for c in ("phone", "loan_amnt", "dti")}),
             "dates": (solved, {"confident": ~F.col("is_ambiguous"), "ambiguous": F.col("is_ambiguous")}),
+            "final": (final_merge(spark, sf), {"flagged": F.col("is_duplicate"), "null_issue_date": F.col("issue_date").isNull()}),
         }
     )
 
@@ -518,9 +552,8 @@ def dirt_log(spark, sf):
 
 
 @query
-def generated_accuracy(spark, sf):
-    """Generated loans, dirtied and resolved again: share of recovered dates."""
-    rows = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"))
-    truth = generated.make_loans(rows)
+def round_trip_accuracy(spark, sf):
+    """The clean table, dirtied and resolved again: share of recovered dates."""
+    truth = fixture.clean_loans(spark, sf)
     dirty, _, _ = corrupt.make_dirty(truth)
     return quality.solver_accuracy(dating.resolve_date_pairs(null_cells(dirty)), truth)

@@ -62,6 +62,14 @@ def resolve_date_pairs(
     return found.select(key, F.inline_outer(F.array(solved)))
 
 
+def rule_dates(df: DataFrame, first: str = "application_date", second: str = "issue_date") -> DataFrame:
+    """Both dates as ISO text where one reading fits, else null; ``dates_open`` marks the others. Row-local."""
+    best = F.when(F.size("date_pairs") == 1, F.try_element_at("date_pairs", F.lit(1)))
+    found = date_pairs(df, first, second).withColumn("_best", best).withColumn("dates_open", F.col("_best").isNull())
+    dates = {first: F.date_format("_best.first", "yyyy-MM-dd"), second: F.date_format("_best.second", "yyyy-MM-dd")}
+    return found.withColumns(dates).drop("date_pairs", "_best")
+
+
 def overlay_dates(
     layer2: DataFrame, solved: DataFrame, key: str = "customer_id", first: str = "application_date", second: str = "issue_date"
 ) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from loanclean.functions.similarity import make_pair_scorer
 from loanclean.functions.text import last_word_upper
-from loanclean.operators.positions import POSITION_BITS
+from loanclean.operators.positions import POSITION_BITS, position_buckets
 from loanclean.sources.staging import stage
 from loanclean.values import PAIR_FIELDS, PAIR_HIGH, PAIR_LOW
 
@@ -116,11 +116,10 @@ def _triage(total: Column, low: float, high: float) -> Column:
 
 def _cross_pairs(prof: DataFrame, large: DataFrame, low: float) -> DataFrame:
     """Pairs of different profiles of a block with a total score of at least ``low``."""
-    # Small input may still mean many pairs, so the number of tasks is given: Spark
-    # would otherwise merge small partitions, whatever work the join makes of them.
-    tasks = int(prof.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = _cells(prof, large).repartition(tasks, *BLOCK, "hi", "lo")
-    a, b = cells.alias("a"), cells.alias("b")
+    # The join shuffles by itself, so that Spark may merge and split its partitions;
+    # a cell holds two tiles at most.
+    cells = _cells(prof, large)
+    a, b = cells.alias("a").hint("merge"), cells.alias("b")
     same_cell = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*BLOCK, "hi", "lo"]]
     meet_here = (F.col("a.tile") != F.col("b.tile")) | (F.col("a.hi") == F.col("a.lo"))
     later_first = F.col("a.pos") > F.col("b.pos")
@@ -215,29 +214,34 @@ def flags_from_pairs(pairs: DataFrame, order_by: str) -> DataFrame:
     return pairs.groupBy(F.col("id_a").alias("id")).agg(F.max_by("id_b", order_by).alias("duplicate_of"))
 
 
+def _slice_ends(ends: DataFrame, names: list[str]) -> DataFrame:
+    """The last rows before each slice of a list, from the last rows of the slices."""
+    *above, last = names
+    before = W.partitionBy("list", *above).orderBy(last).rowsBetween(W.unboundedPreceding, -1)
+    here = ends.select("list", *names, F.max("own").over(before).alias("own_end"), F.max("guest_row").over(before).alias("guest_end"))
+    if not above:
+        return here
+    wider = ends.groupBy("list", *above).agg(F.max("own").alias("own"), F.max("guest_row").alias("guest_row"))
+    wider = _slice_ends(wider, above).withColumnsRenamed({"own_end": "own_far", "guest_end": "guest_far"})
+    nearest = [F.greatest(f"{c}_end", f"{c}_far").alias(f"{c}_end") for c in ("own", "guest")]
+    return here.join(wider, ["list", *above]).select("list", *names, *nearest)
+
+
 def _before_in_list(events: DataFrame) -> DataFrame:
     """For each event the last own and the last guest row before it in its list.
 
     A list may hold a third of all rows, so it is cut by position: the running
     value is taken inside a slice, and each slice inherits the end of the
-    slices before it.
+    slices before it. Slices lie in wider slices, as buckets of positions do.
     """
     own = F.when(~F.col("guest"), F.struct("pos", "id"))
     guest = F.when(F.col("guest"), F.struct("pos", "id"))
-    events = events.withColumn("slice", F.shiftright("pos", POSITION_BITS))
-    inside = W.partitionBy("list", "slice").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
-    earlier = W.partitionBy("list").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    ends = (
-        events.groupBy("list", "slice")
-        .agg(F.max(own).alias("own"), F.max(guest).alias("guest_row"))
-        .select(
-            "list", "slice",
-            F.last("own", True).over(earlier).alias("own_end"),
-            F.last("guest_row", True).over(earlier).alias("guest_end"),
-        )
-    )
+    slices = {f"slice{i}": b for i, b in enumerate(position_buckets("pos", POSITION_BITS))}
+    events = events.withColumns(slices)
+    inside = W.partitionBy("list", *slices).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    ends = _slice_ends(events.groupBy("list", *slices).agg(F.max(own).alias("own"), F.max(guest).alias("guest_row")), list(slices))
     here = events.withColumns({"own_in": F.last(own, True).over(inside), "guest_in": F.last(guest, True).over(inside)})
-    return here.join(ends, ["list", "slice"]).select(
+    return here.join(ends, ["list", *slices]).select(
         "id", "guest", "self_ok",
         F.coalesce("own_in", "own_end").alias("own"),
         F.coalesce("guest_in", "guest_end").alias("guest_row"),

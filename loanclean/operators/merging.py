@@ -30,14 +30,32 @@ def final_merge(layer1: DataFrame, layer2: DataFrame, flags: DataFrame, key: str
     ``flags`` has one row (id, duplicate_of) per flagged record.
     """
     kept = layer1.drop(*ESCALATED_COLUMNS)
-    merged = kept.join(layer2.select(key, *ESCALATED_COLUMNS), key, "left")
+    return flag_rows(kept.join(layer2.select(key, *ESCALATED_COLUMNS), key, "left"), flags, key)
+
+
+def flag_rows(df: DataFrame, flags: DataFrame, key: str = "customer_id") -> DataFrame:
+    """The rows with their duplicate flags; the columns of the second layer stand before the flags."""
     marks = flags.select(F.col("id").alias(key), "duplicate_of")
-    return merged.join(marks, key, "left").select(
-        *kept.columns,
-        *ESCALATED_COLUMNS,
-        F.col("duplicate_of").isNotNull().alias("is_duplicate"),
-        "duplicate_of",
-    )
+    kept = [c for c in df.columns if c not in ESCALATED_COLUMNS]
+    flag = F.col("duplicate_of").isNotNull().alias("is_duplicate")
+    return df.join(marks, key, "left").select(*kept, *ESCALATED_COLUMNS, flag, "duplicate_of")
+
+
+def overlay_rows(rules: DataFrame, given: DataFrame, keep_rules: bool, key: str = "customer_id") -> DataFrame:
+    """The columns of the second layer from ``given``, by key, put right by rows with ``dates_open``.
+
+    Dates that rules are sure of stay. A row that ``given`` lacks keeps what the
+    rules gave it, or is null in these columns without ``keep_rules``.
+    """
+    names = {c: f"_given_{c}" for c in ESCALATED_COLUMNS}
+    found = given.select(key, *ESCALATED_COLUMNS, F.lit(True).alias("_there")).withColumnsRenamed(names)
+    there = F.col("_there").isNotNull()
+    out = {}
+    for c, g in names.items():
+        sure = F.lit(False) if c == "advisor_notes" else ~F.col("dates_open")
+        other = F.col(c) if keep_rules else F.lit(None)
+        out[c] = F.when(there, F.when(sure, F.col(c)).otherwise(F.col(g))).otherwise(other)
+    return rules.join(found, key, "left").select(*[out[c].alias(c) if c in out else F.col(c) for c in rules.columns])
 
 
 def join_with_truth(

@@ -1,9 +1,10 @@
 """Dense numbering, batches and exact samples without a global sort task.
 
-Spark rows have no position, so order comes from a column. Numbering is done
-in two steps: rows per bucket of the order column are counted, and rows are
-ranked inside their bucket only. The one window without a partition runs over
-the bucket counts.
+Spark rows have no position, so order comes from a column. Rows per bucket of
+the order column are counted, and rows are ranked inside their bucket only.
+Buckets lie in wider buckets, and counts are added up inside the next wider one,
+so sparse positions spread over tasks like dense ones. The one window without a
+partition runs over the few widest buckets.
 """
 
 from __future__ import annotations
@@ -13,40 +14,53 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 POSITION_BITS = 20  # a bucket spans 2**20 positions
+_WIDER = 20  # a wider bucket holds 2**20 of the next narrower ones
 SAMPLE_HEX = 5  # 16**5 buckets of a hex digest
 
 
-def position_bucket(position: str) -> Column:
-    return F.shiftright(F.col(position), POSITION_BITS)
+def position_buckets(position: str, bits: int) -> list[Column]:
+    """The buckets of a 64-bit position, widest first; the narrowest spans ``2**bits`` positions."""
+    return [F.shiftright(F.col(position).cast("bigint"), b) for b in reversed(range(bits, 64, _WIDER))]
 
 
-def dense_index(df: DataFrame, bucket: Column, order_by: list[str], out: str = "idx") -> DataFrame:
+def _starts(sizes: DataFrame, names: list[str]) -> DataFrame:
+    """The number of rows before each bucket, from the rows per bucket (``_n``)."""
+    *above, last = names
+    before = W.partitionBy(*above).orderBy(last).rowsBetween(W.unboundedPreceding, -1)
+    here = sizes.select(*names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    if not above:
+        return here
+    wider = _starts(sizes.groupBy(*above).agg(F.sum("_n").alias("_n")), above).withColumnRenamed("_start", "_base")
+    return here.join(wider, above).select(*names, (F.col("_start") + F.col("_base")).alias("_start"))
+
+
+def dense_index(df: DataFrame, buckets: list[Column], order_by: list[str], out: str = "idx") -> DataFrame:
     """Number the rows 0, 1, 2, ... in the given order.
 
-    ``bucket`` must be non-null and rise with the order; ``order_by`` must be
-    unique, else the numbers of equal rows are arbitrary.
+    ``buckets``, widest first, must be non-null and rise with the order, and each
+    must lie in one of the bucket before it; ``order_by`` must be unique, else the
+    numbers of equal rows are arbitrary.
     """
-    rows = df.withColumn("_bucket", bucket)
-    sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(W.partitionBy("_bucket").orderBy(*order_by))
+    names = [f"_bucket{i}" for i in range(len(buckets))]
+    rows = df.withColumns(dict(zip(names, buckets)))
+    starts = _starts(rows.groupBy(*names).agg(F.count("*").alias("_n")), names)
+    rank = F.row_number().over(W.partitionBy(*names).orderBy(*order_by))
     return (
         rows.withColumn("_rank", rank)
-        .join(starts, "_bucket")
+        .join(starts, names)
         .withColumn(out, F.col("_start") + F.col("_rank") - 1)
-        .drop("_bucket", "_rank", "_start")
+        .drop(*names, "_rank", "_start")
     )
 
 
 def index_by_position(df: DataFrame, position: str, out: str = "idx") -> DataFrame:
     """Dense index in the order of a unique integer column."""
-    return dense_index(df, position_bucket(position), [position], out)
+    return dense_index(df, position_buckets(position, POSITION_BITS), [position], out)
 
 
 def index_by_digest(df: DataFrame, digest: str, out: str = "idx") -> DataFrame:
     """Dense index in the order of a hex digest column."""
-    return dense_index(df, F.substring(digest, 1, SAMPLE_HEX), [digest], out)
+    return dense_index(df, [F.substring(digest, 1, SAMPLE_HEX)], [digest], out)
 
 
 def assign_batches(df: DataFrame, position: str, size: int, out: str = "batch_id") -> DataFrame:

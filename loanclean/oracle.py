@@ -355,13 +355,13 @@ def _delta(column: str, before: str, after: str) -> str:
     )
 
 
-def _note() -> str:
+def _notes(known: list[str]) -> str:
     squeezed = "trim(regexp_replace(advisor_notes, '\\s+', ' ', 'g'))"
     fixed = "case when s = upper(s) and s <> lower(s) then upper(substr(lower(s), 1, 1)) || substr(lower(s), 2) else s end"
     for right, wrong in NOTE_TYPOS:
         fixed = f"regexp_replace(replace({fixed}, '{wrong.capitalize()}', '{right.capitalize()}'), '{wrong}', '{right}', 'gi')"
-    words = _texts(NOTE_WORDS)
-    return _with("csv") + (
+    words = _texts(known)
+    return (
         f"select customer_id, advisor_notes, coalesce(len(list_filter(regexp_extract_all(lower(advisor_notes), '([a-z]+)', 1), "
         f"lambda w: not list_contains([{words}], w))) > 0, false) as needs_review from (select customer_id, {fixed} as advisor_notes "
         f"from (select customer_id, {squeezed} as s from csv) a) b"
@@ -394,8 +394,21 @@ _METRICS = _count_rows(
     "(select p.phone, r.loan_amnt, r.dti from phones p join ranged r on p.customer_id = r.customer_id) q",
 ) + " union all " + _count_rows(
     "dates", {"rows": "count(*)", "confident": "count(*) filter (not is_ambiguous)", "ambiguous": "count(*) filter (is_ambiguous)"}, "solved"
+) + " union all " + _count_rows(
+    "final",
+    {"rows": "count(*)", "flagged": "count(*) filter (duplicate_of is not null)", "null_issue_date": "count(*) filter (issue_date is null)"},
+    "(select f.duplicate_of, o.issue_date from csv c left join overlaid o on c.customer_id = o.customer_id left join flags f on c.customer_id = f.id) q",
 )
 
+_FINAL_DATES = "dated as (select c.customer_id, o.application_date, o.issue_date from csv c left join overlaid o on c.customer_id = o.customer_id)"
+_MESSY = f"""truth as (select customer_id, application_date, issue_date from clean),
+  messy as (select customer_id, {_messy_date('application_date')} as application_date, {_messy_date('issue_date')} as issue_date from clean),
+  messy_found as (select customer_id, {_found('application_date')} as fa, {_found('issue_date')} as fi from messy),
+  messy_firsts as (select customer_id, unnest(fa) as a, fi from messy_found),
+  messy_both as (select customer_id, a, unnest(fi) as b from messy_firsts),
+  messy_solved as (select customer_id, cast(min(a) as varchar) as application_date, cast(min(b) as varchar) as issue_date
+    from messy_both where b - a between 1 and 30 group by 1 having count(*) = 1)"""
+
 _LAYER1_COLUMNS = {
     **{c: f"m.{c}" for c in LOAN_COLUMNS},
     **{c: f"r.{c}" for c in [*NUMERIC_COLUMNS, "fico_score"]},
@@ -420,7 +433,7 @@ ORACLES: dict[str, str] = {
     "purpose_match": _with("marked", extra=_MATCHED, recursive=True) + "select customer_id, purpose_original, purpose from purposes",
     "clean_layer1": _with(*_LAYER1_TABLES, extra=_MATCHED, recursive=True)
     + "select " + ", ".join(f"{v} as {c}" for c, v in _LAYER1_COLUMNS.items()) + " " + _LAYER1_FROM,
-    "note_repair": _note(),
+    "note_repair": _with("csv") + _notes(NOTE_WORDS),
     "null_delta": _with("marked", "phones", "ranged", extra=_MATCHED + """,
   joined as (select m.phone as phone_b, ph.phone as phone_a, m.purpose as purpose_b, pu.purpose as purpose_a, m.loan_amnt as loan_amnt_b,
     r.loan_amnt as loan_amnt_a, m.fico_score as fico_score_b, r.fico_score as fico_score_a, m.dti as dti_b, r.dti as dti_a,
@@ -481,6 +494,25 @@ ORACLES: dict[str, str] = {
     "escalation_resolve": _with("csv", "layer2") + """select * from layer2 union all
       select customer_id, application_date, issue_date, trim(coalesce(advisor_notes, '')) as advisor_notes from csv
       where customer_id not in (select customer_id from layer2)""",
+    "second_pass": _with("csv", "layer2", "broken") + """select * from layer2 where customer_id not in (select customer_id from broken) union all
+      select customer_id, application_date, issue_date, trim(coalesce(advisor_notes, '')) as advisor_notes
+      from csv where customer_id in (select customer_id from broken)""",
+    "escalation_notes": _with("csv", "solved", extra=f"notes as ({_notes([*NOTE_WORDS, 'papers'])})") + """select c.customer_id,
+        case when not s.is_ambiguous then s.solved_application_date else c.application_date end as application_date,
+        case when not s.is_ambiguous then s.solved_issue_date else c.issue_date end as issue_date,
+        case when s.is_ambiguous or n.needs_review then replace(trim(coalesce(c.advisor_notes, '')), 'pprs', 'papers') else n.advisor_notes end as advisor_notes
+      from csv c join solved s on c.customer_id = s.customer_id join notes n on c.customer_id = n.customer_id""",
+    "evaluate": _with("csv", "overlaid", "truth", "solved", "fit_counts", "row_pairs", "loans", extra=_FINAL_DATES + ", " + _ERR.replace("layer2", "dated") + """,
+  known as (select customer_id as d, concat('LC', cast(100000 + k as varchar)) as o from loans where customer_id like 'DUP%'),
+  taken as (select id_a, id_b from row_pairs where decision = 'auto_dup')""")
+    + f"""select 'accuracy' as part, "column" as item, correct as value from ({_accuracy('dated')}) a
+      union all select 'errors', case when coalesce(year(ag) = year(ta) and month(ag) = day(ta) and day(ag) = month(ta) and month(ag) <> day(ag), false)
+        then 'day_month_swap' else 'other' end, count(*) from errors group by 2
+      union all select 'outcomes', case when n = 1 then 'one' when n = 0 then 'none' else 'several' end, count(*) from fit_counts group by 2
+      union all select 'solver', "column", correct from ({_accuracy('solved', 'solved_application_date', 'solved_issue_date', 'not x.is_ambiguous')}) s
+      union all select 'duplicates', 'true_pairs', count(*) from known
+      union all select 'duplicates', 'true_found', count(*) from known join taken on (d = id_a and o = id_b) or (d = id_b and o = id_a)
+      union all select 'duplicates', 'found', count(*) from taken""",
     "resume_todo": _with("csv", "layer2") + "select customer_id, row_pos from csv where customer_id not in (select customer_id from layer2)",
     "resume_union": _with("csv", "layer2") + """select * from layer2 union all
       select customer_id, application_date, issue_date, advisor_notes from csv where customer_id not in (select customer_id from layer2)""",
@@ -491,7 +523,7 @@ ORACLES: dict[str, str] = {
       and month(ag) <> day(ag), false) then 'day_month_swap' else 'other' end as error_class, count(*) as n from errors group by 1""",
     "date_error_sample": _with("layer2", "truth", extra=_ERR) + """select customer_id, application_date_got, application_date_truth, issue_date_got, issue_date_truth,
       ig - ag as gap_got, ti - ta as gap_truth from errors order by md5('1:' || customer_id), customer_id limit 15""",
-    "stage_metrics": _with("phones", "ranged", "solved") + _METRICS,
+    "stage_metrics": _with("phones", "ranged", "solved", "csv", "overlaid", "flags") + _METRICS,
     "installment_values": _with("clean") + """select customer_id, round(a * (r * pow(1 + r, n)) / (pow(1 + r, n) - 1), 2) as installment
       from (select customer_id, cast(loan_amnt as double) as a, cast(int_rate as double) / 100 / 12 as r, cast(term_months as double) as n from clean) t""",
     "debt_to_income_values": _with("clean") + """select customer_id, round(least(greatest((p + m * (d / 300)) / m * 100, 0.0::double), 45.0::double), 2) as dti
@@ -518,5 +550,6 @@ ORACLES: dict[str, str] = {
       every as (select customer_id, full_name, email, null as original_id from clean union all select * from copies)""")
     + "select customer_id, full_name, email, row_number() over (order by md5('7:shuffle:' || customer_id)) - 1 as row_pos, original_id from every",
     "dirt_log": _dirt_log(),
+    "round_trip_accuracy": _with("clean", extra=_MESSY) + _accuracy("messy_solved"),
 }
 ORACLES["whole_job"] = ORACLES["final_merge"]

@@ -11,14 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanclean.functions.text import null_if_in
 from loanclean.operators import quality
-from loanclean.operators.cleaning import clean_layer1, repair_notes
-from loanclean.operators.dating import date_pairs, date_rule_check, overlay_dates, resolve_date_pairs, solver_outcomes
+from loanclean.operators.cleaning import clean_layer1, null_markers, repair_notes
+from loanclean.operators.dating import date_rule_check, overlay_dates, resolve_date_pairs, rule_dates, solver_outcomes
 from loanclean.operators.escalation import Resolver, append_done, escalate, judge_pairs, recheck_queue, still_to_do
 from loanclean.operators.linkage import Linkage, duplicate_flags, find_duplicates, pair_payload
-from loanclean.operators.merging import final_merge, keyed_update, replace_rows
-from loanclean.values import ESCALATED_COLUMNS, MISSING_MARKERS
+from loanclean.operators.merging import flag_rows, keyed_update, overlay_rows, replace_rows
+from loanclean.values import ESCALATED_COLUMNS
 
 KEY = "customer_id"
 
@@ -30,6 +29,18 @@ class Cleaned:
     layer2: DataFrame
 
 
+def _rules(layer1: DataFrame, vocabulary: list[str] | None) -> DataFrame:
+    """Repaired notes and dates by rule beside all other columns; ``dates_open``, ``needs_review`` say what is left."""
+    rows = rule_dates(repair_notes(layer1, vocabulary=vocabulary))
+    return rows if vocabulary is not None else rows.withColumn("needs_review", F.lit(False))
+
+
+def _answers(raw: DataFrame, rules: DataFrame, resolver: Resolver, position: str, escalate_all: bool) -> DataFrame:
+    """The resolver's rows for what rules left open, from the raw values."""
+    asked = raw if escalate_all else raw.join(rules.where("dates_open or needs_review").select(KEY), KEY, "left_semi")
+    return escalate(asked.select(KEY, position, *ESCALATED_COLUMNS), resolver, position)
+
+
 def second_layer(
     raw: DataFrame,
     resolver: Resolver | None,
@@ -47,26 +58,10 @@ def second_layer(
     ``done`` are taken as they are.
     """
     todo = raw if done is None else still_to_do(raw, done)
-    # one projection: notes as the first layer leaves them, dates from the raw text
-    noted = repair_notes(todo.withColumn("advisor_notes", null_if_in(F.col("advisor_notes"), MISSING_MARKERS)), vocabulary=vocabulary)
-    review = F.col("needs_review") if vocabulary is not None else F.lit(False)
-    first = F.when(F.size("date_pairs") == 1, F.try_element_at("date_pairs", F.lit(1)))
-    found = date_pairs(noted).withColumn("_best", first)
-    by_rule = found.select(
-        KEY,
-        F.date_format("_best.first", "yyyy-MM-dd").alias("application_date"),
-        F.date_format("_best.second", "yyyy-MM-dd").alias("issue_date"),
-        "advisor_notes",
-        (F.col("_best").isNull() | review).alias("is_ambiguous"),
-    )
-    rows = by_rule.drop("is_ambiguous")
+    rows = _rules(null_markers(todo.select(KEY, *ESCALATED_COLUMNS)), vocabulary)
     if resolver is not None:
-        chosen = by_rule if escalate_all else by_rule.where("is_ambiguous")
-        asked = todo.join(chosen.select(KEY), KEY, "left_semi").select(KEY, position, *ESCALATED_COLUMNS)
-        answers = escalate(asked, resolver, position)
-        rows = replace_rows(rows, answers)
-        # sure dates stay, whatever the resolver says; a record whose batch failed keeps what the rules gave it
-        rows = overlay_dates(rows, resolve_date_pairs(todo))
+        rows = overlay_rows(rows, _answers(todo, rows, resolver, position, escalate_all), keep_rules=True)
+    rows = rows.select(KEY, *ESCALATED_COLUMNS)
     return rows if done is None else append_done(done, rows)
 
 
@@ -87,20 +82,26 @@ def clean_loans(
     ``position``. Earlier results can be given as ``layer2`` and ``verdicts``;
     the resolvers are then not asked, but dates with one reading are still put
     right.
+
+    Both layers' rules are one projection of ``raw``; a given or resolved second
+    layer costs one join, the flags another.
     """
-    layer1 = clean_layer1(raw, grade)
+    rows = _rules(clean_layer1(raw, grade), vocabulary)
     link = find_duplicates(raw, KEY, position, staged=True)
-    if layer2 is None:
-        layer2 = second_layer(raw, resolver, position, escalate_all=escalate_all, vocabulary=vocabulary)
-    else:
+    if layer2 is not None:
+        rows = overlay_rows(rows, layer2, keep_rules=False)
         layer2 = overlay_dates(layer2, resolve_date_pairs(raw))
+    else:
+        if resolver is not None:
+            rows = overlay_rows(rows, _answers(raw, rows, resolver, position, escalate_all), keep_rules=True)
+        layer2 = rows.select(KEY, *ESCALATED_COLUMNS)
     if verdicts is None and pair_resolver is not None:
         gray = link.pairs.where(F.col("decision") == "gray")
         verdicts = judge_pairs(pair_payload(gray, raw, position=position), pair_resolver)
     confirmed = None
     if verdicts is not None:
         confirmed = verdicts.where("is_duplicate").select(F.col("record_a_id").alias("id_a"), F.col("record_b_id").alias("id_b"))
-    final = final_merge(layer1.drop(position), layer2, duplicate_flags(link, confirmed))
+    final = flag_rows(rows.drop(position, "dates_open", "needs_review"), duplicate_flags(link, confirmed))
     return Cleaned(final, link, layer2)
 
 

@@ -8,26 +8,17 @@ since the last one and stops; the streaming checkpoint is the resume list.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loanclean.operators.cleaning import clean_layer1, repair_notes
-from loanclean.operators.dating import date_pairs
+from loanclean.operators.dating import rule_dates
 from loanclean.sources.text_csv import null_cells, text_schema
 from loanclean.values import LOAN_COLUMNS
 
 
 def clean_rows(df: DataFrame) -> DataFrame:
     """First layer, repaired notes and resolved dates as one row-local projection."""
-    out = date_pairs(repair_notes(clean_layer1(df)))
-    best = F.when(F.size("date_pairs") == 1, F.try_element_at("date_pairs", F.lit(1)))
-    out = out.withColumn("_best", best).withColumn("dates_open", F.col("_best").isNull())
-    return out.withColumns(
-        {
-            "application_date": F.date_format("_best.first", "yyyy-MM-dd"),
-            "issue_date": F.date_format("_best.second", "yyyy-MM-dd"),
-        }
-    ).drop("date_pairs", "_best")
+    return rule_dates(repair_notes(clean_layer1(df)))
 
 
 def clean_new_files(
