@@ -277,9 +277,10 @@ def final_merge(spark, sf):
 
 @query
 def whole_job(spark, sf):
-    verdicts = _confirmed(_link(spark, sf)).select(F.col("id_a").alias("record_a_id"), F.col("id_b").alias("record_b_id"), F.lit(True).alias("is_duplicate"))
+    link = _link(spark, sf)
+    verdicts = _confirmed(link).select(F.col("id_a").alias("record_a_id"), F.col("id_b").alias("record_b_id"), F.lit(True).alias("is_duplicate"))
     raw = _raw(spark, sf).select(*LOAN_COLUMNS, "row_pos")
-    return jobs.clean_loans(raw, layer2=fixture.layer2(spark, sf), verdicts=verdicts).final
+    return jobs.clean_loans(raw, layer2=fixture.layer2(spark, sf), verdicts=verdicts, link=link).final
 
 
 def _trim_notes(request: str) -> str:

@@ -65,9 +65,15 @@ def resolve_date_pairs(
 def rule_dates(df: DataFrame, first: str = "application_date", second: str = "issue_date") -> DataFrame:
     """Both dates as ISO text where one reading fits, else null; ``dates_open`` marks the others. Row-local."""
     best = F.when(F.size("date_pairs") == 1, F.try_element_at("date_pairs", F.lit(1)))
-    found = date_pairs(df, first, second).withColumn("_best", best).withColumn("dates_open", F.col("_best").isNull())
-    dates = {first: F.date_format("_best.first", "yyyy-MM-dd"), second: F.date_format("_best.second", "yyyy-MM-dd")}
-    return found.withColumns(dates).drop("date_pairs", "_best")
+    found = date_pairs(df, first, second).withColumn("_best", best)
+    solved = F.struct(
+        F.date_format("_best.first", "yyyy-MM-dd").alias("_date1"),
+        F.date_format("_best.second", "yyyy-MM-dd").alias("_date2"),
+        F.col("_best").isNull().alias("dates_open"),
+    )
+    # the one-row array keeps later uses of the dates from repeating the search
+    rows = found.select(*df.columns, F.inline_outer(F.array(solved)))
+    return rows.withColumns({first: F.col("_date1"), second: F.col("_date2")}).drop("_date1", "_date2")
 
 
 def overlay_dates(

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 POSITION_BITS = 20  # a bucket spans 2**20 positions
-_WIDER = 20  # a wider bucket holds 2**20 of the next narrower ones
+_WIDER = 22  # a wider bucket holds 2**22 of the next narrower ones; at most that many are widest
 SAMPLE_HEX = 5  # 16**5 buckets of a hex digest
 
 

@@ -75,19 +75,23 @@ def clean_loans(
     escalate_all: bool = False,
     grade: str = "token",
     vocabulary: list[str] | None = None,
+    link: Linkage | None = None,
+    link_on: str = "raw",
 ) -> Cleaned:
     """Raw text table to the final table.
 
     ``raw`` holds the loan columns as text, CSV nulls already set, and a unique
-    ``position``. Earlier results can be given as ``layer2`` and ``verdicts``;
-    the resolvers are then not asked, but dates with one reading are still put
-    right.
+    ``position``. Earlier results can be given as ``layer2``, ``verdicts`` and
+    ``link``; the resolvers are then not asked, but dates with one reading are
+    still put right. ``link_on="clean"`` compares the cleaned cells instead of the
+    raw ones, so a missing-value marker is no block of its own.
 
     Both layers' rules are one projection of ``raw``; a given or resolved second
     layer costs one join, the flags another.
     """
     rows = _rules(clean_layer1(raw, grade), vocabulary)
-    link = find_duplicates(raw, KEY, position, staged=True)
+    if link is None:
+        link = find_duplicates({"raw": raw, "clean": clean_layer1(raw, grade)}[link_on], KEY, position, staged=True)
     if layer2 is not None:
         rows = overlay_rows(rows, layer2, keep_rules=False)
         layer2 = overlay_dates(layer2, resolve_date_pairs(raw))

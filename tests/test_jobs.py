@@ -266,3 +266,20 @@ def test_new_rows_must_be_whole(spark):
     old = spark.createDataFrame([("A", "x")], "customer_id string, u string")
     with pytest.raises(ValueError, match="lack"):
         merging.replace_rows(old, old.select("customer_id"))
+
+
+def test_sparse_positions(spark):
+    """Positions spread over all 64 bits are numbered like dense ones."""
+    df = spark.range(3000).select(F.xxhash64("id").alias("pos"))
+    got = {r.pos: r.idx for r in positions.index_by_position(df, "pos").collect()}
+    assert got == {p: i for i, p in enumerate(sorted(got))} and len(got) == 3000
+
+
+def test_the_whole_job_joins_the_flags_only(spark, sf_dir):
+    raw = null_cells(fixture.raw_loans(spark, sf_dir)).select(*LOAN_COLUMNS, "row_pos")
+    out = jobs.clean_loans(raw)
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins(out.final) == joins(linkage.duplicate_flags(out.link)) + 1 and joins(out.layer2) == 0
+    clean = jobs.clean_loans(raw, link_on="clean")
+    assert clean.link.profiles.where("zip_code = '00000'").isEmpty()
+    assert not out.link.profiles.where("zip_code = '00000'").isEmpty()
