@@ -16,14 +16,14 @@ the links: at most one edge a row. No link between components is lost by that.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType
+from pyspark.sql.types import LongType
 
 from loanclean.llm.base import components, documents, shards, stage
 
@@ -169,43 +169,98 @@ def cell_edges(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": u[pick], "b": v[pick]})
 
 
-def cells_of(rows: DataFrame) -> DataFrame:
-    """(node, key, cell) of the rows (node, key) whose key has others; large keys make several cells."""
+def tiled(rows: DataFrame) -> DataFrame:
+    """The rows (node, key) whose key has others, with ``crowd``, the number of tiles of the key, and ``own``, the row's tile."""
     sizes = rows.groupBy("key").count().where("count > 1")
     crowd = F.ceil(F.col("count") / TILE).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("crowd")).cast("int")
-    return (
-        rows.join(sizes, "key").withColumn("crowd", crowd).withColumn("own", own)
-        .select(*rows.columns, "own", F.explode(F.sequence(F.lit(0), F.col("crowd") - 1)).alias("other"))
-        .select(*rows.columns, F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"))
-    )
+    return rows.join(sizes, "key").withColumn("crowd", crowd).withColumn("own", own).drop("count")
+
+
+def in_cells(rows: DataFrame) -> DataFrame:
+    """Tiled rows, once for each tile of the key: column ``cell`` names the pair of tiles, ``other`` the other tile."""
+    every = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("crowd") - 1)))
+    return every.withColumn("cell", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
 
 
 def forest_edges(nodes: DataFrame, parts: int) -> DataFrame:
     """Edges (a, b) that connect the nodes (node, fp) as all their links do."""
     rows = nodes.select("node", "fp", F.explode(keys()).alias("key"))
-    cells = cells_of(rows).select("node", "fp", F.shiftright("key", 25).cast("long").alias("start"), "cell")
+    cells = in_cells(tiled(rows)).select("node", "fp", F.shiftright("key", 25).cast("long").alias("start"), "cell")
     edges = cells.groupBy(F.pmod("cell", F.lit(parts)).alias("part")).applyInPandas(cell_edges, "a long, b long")
     return edges.distinct()
 
 
-def similar_cell_edges(pdf: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Spanning forest of the pairs within each cell whose sketches agree to ``least`` or more, the likest first."""
-    pdf = pdf.sort_values(["cell", "node"], kind="stable")
-    cell, node, fp = pdf["cell"].to_numpy(), pdf["node"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64)
+def set_similarity(x: np.ndarray, y: np.ndarray) -> float:
+    """Jaccard similarity of two ascending arrays without repeats; 1 if both are empty."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return float(not len(y))
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return both / (len(x) + len(y) - both)
+
+
+def cell_pairs(cell: np.ndarray, text: np.ndarray, side: np.ndarray, cut: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of texts that share a cell and differ in ``side``, or have none (-1), for rows in order of cell; some cells at a time."""
+    ends = np.flatnonzero(np.append(cell[1:] != cell[:-1], True)) + 1
+    n = np.diff(ends, prepend=0)
+    batch = np.cumsum(n * (n - 1) // 2) // cut
+    stops = ends[np.append(batch[1:] != batch[:-1], True)]
+    for lo, hi in zip([0, *stops[:-1]], stops):
+        c, t, s = cell[lo:hi], text[lo:hi], side[lo:hi]
+        live, step, found = np.arange(hi - lo), 1, []
+        while len(live):
+            live = live[live + step < hi - lo]
+            live = live[c[live] == c[live + step]]
+            pick = live[(s[live] < 0) | (s[live] != s[live + step])]
+            found.append((t[pick], t[pick + step]))
+            step += 1
+        yield tuple(np.concatenate(x) for x in zip(*found))
+
+
+def similar_cell_edges(pdf: pd.DataFrame, similarity: float, least: float) -> pd.DataFrame:
+    """Edges that connect the texts of a part as all their links do: pairs in a cell of Jaccard similarity ``similarity`` or more.
+
+    A row is a text with its cells. Pairs are taken by the agreement of their sketches, the
+    likest first, and compared unless links found before connect them already. A pair that
+    fails takes no other's place.
+    """
+    pdf = pdf.sort_values("node", kind="stable")
+    node, root = pdf["node"].to_numpy(), pd.factorize(pdf["component"])[0]
+    root = np.unique(root, return_index=True)[1][root]
+    fp = pdf["fp"].to_numpy().view(np.uint64)
     marks = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), HASHES)
-    found, live, step = [], np.arange(len(pdf)), 1
-    while len(live):
-        live = live[live + step < len(pdf)]
-        live = live[cell[live] == cell[live + step]]
-        good = live[ring_near(fp[live] ^ fp[live + step], BITS)]
-        like = (marks[good] == marks[good + step]).mean(axis=1)
-        found.append((good[like >= least], good[like >= least] + step, like[like >= least]))
-        step += 1
-    i, j, w = (np.concatenate(x) for x in zip(*found))
-    u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-    pick = spanning_forest(u, v, w)
-    return pd.DataFrame({"a": u[pick], "b": v[pick]})
+    sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+    counts = np.array([len(x) for x in pdf["cells"]])
+    text, at = np.repeat(np.arange(len(pdf)), counts), [(x["cell"], x["side"]) for cells in pdf["cells"] for x in cells]
+    cell, side = np.array([x[0] for x in at], np.int64), np.array([x[1] for x in at], np.int64)
+    order = np.lexsort((text, cell))
+    links = []
+    for x, y in cell_pairs(cell[order], text[order], side[order]):
+        for test in (lambda: root[x] != root[y], lambda: ring_near(fp[x] ^ fp[y], BITS)):
+            good = test()
+            x, y = x[good], y[good]
+        like = np.concatenate([(marks[x[k : k + _BLOCK]] == marks[y[k : k + _BLOCK]]).mean(axis=1) for k in range(0, len(x), _BLOCK)] or [np.zeros(0)])
+        first = np.lexsort((y, x, -like))
+        first = first[like[first] >= least]
+        for k in range(0, len(first), 4096):
+            u, v = x[first[k : k + 4096]], y[first[k : k + 4096]]
+            apart = root[u] != root[v]
+            up = root.tolist()
+            for i, j in zip(u[apart].tolist(), v[apart].tolist()):
+                a, b = i, j
+                while up[a] != a:
+                    up[a] = a = up[up[a]]
+                while up[b] != b:
+                    up[b] = b = up[up[b]]
+                if a != b and set_similarity(sets[i], sets[j]) >= similarity:
+                    up[max(a, b)] = min(a, b)
+                    links.append((node[i], node[j]))
+            root = np.array(up)
+            while (root != root[root]).any():
+                root = root[root]
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def band_keys(sketch: str = "sketch") -> Column:
@@ -213,12 +268,30 @@ def band_keys(sketch: str = "sketch") -> Column:
     return F.array(*[F.xxhash64(F.lit(at), F.substring(sketch, at + 1, BAND)) for at in range(0, HASHES - BAND + 1, BAND)])
 
 
-def similar_edges(nodes: DataFrame, parts: int, least: float) -> DataFrame:
-    """Edges (a, b) between nodes (node, fp, sketch) that share a band of the sketch and are about as similar as asked."""
-    cells = cells_of(nodes.select("node", F.explode(band_keys()).alias("key"))).select("node", "cell")
-    rows = cells.join(nodes, "node")
-    edges = rows.groupBy(F.pmod("cell", F.lit(parts)).alias("part")).applyInPandas(lambda pdf: similar_cell_edges(pdf, least), "a long, b long")
-    return edges.distinct()
+def similar_edges(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], parts: int, similarity: float, least: float) -> DataFrame:
+    """Edges (a, b) that connect the nodes (node, text, sketch) as all links do whose ends share a band of the sketch.
+
+    ``sets`` gives (text, fp, sketch, shingles) of the nodes (node, text) in need. The tiles of a
+    key are linked first, each for itself. Keys whose nodes that leaves in several components
+    have their tiles meet pairwise after that.
+    """
+    rows = stage(tiled(nodes.select("node", "text", F.explode(band_keys()).alias("key"))), "bands")
+    known = stage(sets(rows.select("node", "text").distinct()), "sets")
+
+    def linked(cells: DataFrame) -> DataFrame:
+        part = F.pmod("cell", F.lit(parts)).alias("part")
+        own = cells.groupBy(part, "node", "text", "component").agg(F.collect_list(F.struct("cell", "side")).alias("cells"))
+        return own.join(known, "text").groupBy("part").applyInPandas(lambda pdf: similar_cell_edges(pdf, similarity, least), "a long, b long")
+
+    edges = stage(linked(rows.select("node", "text", F.col("node").alias("component"), F.lit(-1).alias("side"), F.xxhash64("key", "own").alias("cell"))), "pairs")
+    large = rows.where("crowd > 1")
+    if large.isEmpty():
+        return edges
+    large = stage(large.join(components(edges), "node", "left").withColumn("component", F.coalesce("component", "node")), "large")
+    open_ = large.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    cross = in_cells(large.join(open_, "key", "left_semi")).where("own <> other")
+    more = linked(cross.select("node", "text", "component", F.col("own").alias("side"), "cell"))
+    return stage(edges.union(more), "pairs")
 
 
 def fingerprint_components(prints: DataFrame, parts: int) -> DataFrame:
@@ -240,49 +313,45 @@ def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def jaccard(a: str | None, b: str | None, n: int) -> float:
-    def shingles(t: str | None) -> set[bytes]:
-        w = tokens(t)
-        return {b" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
-
-    x, y = shingles(a), shingles(b)
-    return len(x & y) / len(x | y) if x or y else 1.0
-
-
 def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, slack: float = 0.16) -> DataFrame:
     """(doc_id, component_id) of the documents that have a near or exact copy.
 
     Candidates share a band of a minimum-hash sketch of their n-word shingles: of pairs
     of Jaccard similarity 0.8, 1 in 20,000 shares none. Fingerprints of the distinct
     shingles prune them by pigeonring to ``BITS`` differing bits (such a pair differs in
-    about 10 to 12), sketches to about ``similarity`` less ``slack``, and the edges kept
-    are checked exactly: Jaccard similarity of n-word shingle sets of ``similarity`` or more.
+    about 10 to 12), sketches to about ``similarity`` less ``slack``. A link is a Jaccard
+    similarity of ``similarity`` or more of the sets of n-word shingles, by their 64-bit
+    hashes; it is decided before links are thinned to what connects the same documents.
     Texts without words are copies of each other; rows without doc_id take no part.
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     parts = shards(docs, 4)
 
-    @F.pandas_udf("struct<fp long, sketch binary, text binary>")
+    @F.pandas_udf("struct<sketch binary, text binary>")
     def marks(t: pd.Series) -> pd.DataFrame:
         rows = []
         for x in t:
             w = tokens(x)
-            h = shingle_set(w, n)
-            rows.append([fingerprint_of([h]), sketch(h), xxhash.xxh3_128_digest(b" ".join(w))])
-        return pd.DataFrame(rows, columns=["fp", "sketch", "text"])
+            rows.append([sketch(shingle_set(w, n)), xxhash.xxh3_128_digest(b" ".join(w))])
+        return pd.DataFrame(rows, columns=["sketch", "text"])
 
     rows = stage(docs.select("doc_id", marks("text").alias("m")).select("doc_id", "m.*"), "marks")
-    classes = stage(rows.groupBy("text").agg(F.min_by(F.struct("fp", "sketch"), "doc_id").alias("m"), F.min("doc_id").alias("node")), "classes")
-    edges = stage(similar_edges(classes.select("node", "m.*"), parts, similarity - slack), "pairs")
-    named = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(docs.join(named, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text")), "texts")
+    classes = stage(rows.groupBy("text").agg(F.first("sketch").alias("sketch"), F.min("doc_id").alias("node")), "classes")
+
+    @F.pandas_udf("struct<text binary, fp long, sketch binary, shingles binary>")
+    def sets(t: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x in t:
+            w = tokens(x)
+            h = shingle_set(w, n)
+            rows.append([xxhash.xxh3_128_digest(b" ".join(w)), fingerprint_of([h]), sketch(h), h.tobytes()])
+        return pd.DataFrame(rows, columns=["text", "fp", "sketch", "shingles"])
 
-    @F.pandas_udf(DoubleType())
-    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(a, b, n) for a, b in zip(x, y)], dtype=float)
+    def known(named: DataFrame) -> DataFrame:
+        own = docs.join(named.select(F.col("node").alias("doc_id")).distinct(), "doc_id").select("doc_id", sets("text").alias("s")).select("s.*")
+        return own.join(named.select("text").distinct(), "text", "left_semi").groupBy("text").agg(*[F.first(c).alias(c) for c in ("fp", "sketch", "shingles")])
 
-    pairs = edges.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    labels = components(pairs.where(alike("ta", "tb") >= similarity).select("a", "b"))
+    labels = components(similar_edges(classes, known, parts, similarity, similarity - slack))
     found = classes.join(labels, "node", "left").select("text", F.coalesce("component", "node").alias("component_id"))
     return rows.select("doc_id", "text").join(found, "text").select("doc_id", "component_id")
 

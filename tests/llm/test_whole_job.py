@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from loanclean.llm import simhash
 
 
@@ -13,3 +15,21 @@ def test_near_copies_with_one_changed_word_are_found(spark):
         texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:30], "changed", *words[31:]]))]
     out = simhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
     assert {r.doc_id: r.component_id for r in out.collect()} == {d: d - d % 2 for d, _ in texts}
+
+
+@pytest.mark.parametrize("tile", [256, 40])
+def test_copies_of_one_text_are_one_group_though_copies_differ(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(9000)}" for _ in range(400)]
+    texts = [(0, " ".join(base))]
+    for i in range(1, 400):
+        words = list(base)
+        for k in rng.sample(range(400), 6):
+            words[k] = f"c{i}x{k}"
+        texts.append((i, " ".join(words)))
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for _, t in texts]
+    like = lambda x, y: len(x & y) / len(x | y)
+    assert all(like(sets[0], s) >= 0.8 for s in sets)
+    out = simhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r.component_id for r in out.collect()} == {0}
