@@ -6,10 +6,13 @@ leftmost and non-overlapping; matches that fail the kind's test are dropped.
 Bootstrapping finds identifiers that no base pattern has. Base entities are the seeds.
 Every occurrence of a seed, and of any other token with a digit, induces lexical
 patterns: the words around it. Patterns and instances make a bipartite graph, which
-Spark scores in rounds: a pattern's confidence in a kind is the smoothed share of its
-instances' confidence, an instance's is that of its best pattern, and seeds stay at
-1. A pattern counts with ``SUPPORT`` distinct seeds or found instances at least.
-Occurrences of unseen tokens in patterns of at least ``CONFIDENCE`` are added. Base
+Spark scores in rounds: a pattern's confidence in a kind is the smoothed mean confidence
+of its judged instances (those of other kinds give none), an instance's is that of its
+best pattern, and seeds stay at 1. Instances not yet found are neutral, so a context may hold
+any number of them; confidence falls with every hop. A pattern counts with seeds and
+found instances of ``SUPPORT`` together at least.
+Occurrences of unseen tokens in patterns of at least ``CONFIDENCE`` are added. A token
+added so in ``TEXTS`` different texts is added wherever it stands. Base
 spans always stay, and added ones never overlap them.
 
 Null texts are empty. Repeated rows of a document are one occurrence for the scores
@@ -34,6 +37,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 SUPPORT = 4.0
 CONFIDENCE = 0.8
+TEXTS = 2
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _CLUSTER = re.compile(r"[0-9][\x20().0-9-]*")
@@ -126,7 +130,7 @@ def _mined(docs: DataFrame) -> DataFrame:
             rows = []
             for t in batch.column(2).to_pylist():
                 base = base_spans(t)
-                found = [dict(zip(("kind", "value", "start", "stop", "patterns"), (o[0], hashlib.md5(o[1].encode()).hexdigest(), *o[2:]))) for o in occurrences(t) if o[4]]
+                found = [dict(zip(("kind", "value", "start", "stop", "patterns"), (o[0], hashlib.md5(o[1].encode()).hexdigest(), *o[2:]))) for o in occurrences(t)]
                 rows.append([*map(len, base), spans_text([(k, a, b) for k, s in zip(KINDS, base) for a, b in s]), found])
             names = ["n_email", "n_ip", "n_card", "n_phone", "base", "found"]
             frame = pd.DataFrame(rows, columns=names)
@@ -148,28 +152,34 @@ def spans_text(spans: list[tuple[str, int, int]]) -> str:
 def confident_patterns(edges: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(pattern, kind) to trust, from distinct edges (pattern, value, kind); kind '' marks unseen instances.
 
-    An unseen instance takes the kind and half the confidence of its best trusted pattern.
+    An unseen instance takes the kind and the confidence of its best trusted pattern.
     """
     edges = stage(edges, "edges")
     seeds = edges.where("kind <> ''").select("value", "kind", F.lit(1.0).alias("conf")).distinct()
     known, trusted = seeds, None
-    sizes = edges.groupBy("pattern").agg(F.count_distinct("value").alias("n"))
     links = edges.select("pattern", "value").distinct()
     for _ in range(rounds):
-        scores = links.join(known, "value").groupBy("pattern", "kind").agg(F.sum("conf").alias("mass")).join(sizes, "pattern")
+        judged = links.join(stage(known, "known"), "value")
+        sizes = judged.groupBy("pattern").agg(F.count_distinct("value").alias("n"))
+        scores = judged.groupBy("pattern", "kind").agg(F.sum("conf").alias("mass")).join(sizes, "pattern")
         scores = scores.where(F.col("mass") >= support).select("pattern", "kind", (F.col("mass") / (F.col("n") + 0.5)).alias("conf"))
         trusted = stage(scores.where(F.col("conf") >= confidence), "patterns")
         best = edges.where("kind = ''").join(trusted, "pattern").drop(edges["kind"]).groupBy("value").agg(F.max_by(F.struct(trusted["kind"], "conf"), F.struct("conf", trusted["kind"])).alias("b"))
-        known = seeds.unionByName(best.select("value", "b.kind", (F.col("b.conf") / 2).alias("conf")).join(seeds.select("value"), "value", "left_anti"))
+        known = seeds.unionByName(best.select("value", "b.kind", "b.conf").join(seeds.select("value"), "value", "left_anti"))
     return trusted
 
 
 def extra_spans(mined: DataFrame) -> DataFrame:
     """(doc_id, digest, extra): the added spans of each document that has any, as a list of (kind, start, stop)."""
-    found = mined.dropDuplicates(["doc_id", "digest"]).select("doc_id", "digest", F.explode("found").alias("f"))
-    rows = found.select("doc_id", "digest", "f.kind", "f.value", "f.start", "f.stop", F.explode("f.patterns").alias("pattern"))
+    place = ["doc_id", "digest", "start", "stop"]
+    found = mined.dropDuplicates(["doc_id", "digest"]).select("doc_id", "digest", F.explode("found").alias("f")).select("doc_id", "digest", "f.*")
+    rows = found.select(*place, "kind", "value", F.explode("patterns").alias("pattern"))
     trusted = confident_patterns(rows.select("pattern", "value", "kind").distinct()).withColumnRenamed("kind", "as_kind")
-    hits = rows.where("kind = ''").join(trusted, "pattern").groupBy("doc_id", "digest", "start", "stop").agg(F.max_by("as_kind", F.struct("conf", "as_kind")).alias("kind"))
+    best = F.max(F.struct("conf", "as_kind")).alias("best")
+    local = stage(rows.where("kind = ''").join(trusted, "pattern").groupBy(*place, "value").agg(best).select(*place, "value", "best.*"), "local")
+    sure = local.groupBy("value").agg(best, F.count_distinct("digest").alias("texts")).where(F.col("texts") >= TEXTS).select("value", "best.as_kind")
+    spread = found.where("kind = ''").join(sure, "value").select(*place, "as_kind", F.lit(False).alias("here"))
+    hits = local.select(*place, "as_kind", F.lit(True).alias("here")).unionByName(spread).groupBy(*place).agg(F.max_by("as_kind", "here").alias("kind"))
     return hits.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "stop"))).alias("extra"))
 
 

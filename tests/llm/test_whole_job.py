@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from loanclean.llm import simhash
+from loanclean.llm import pii, simhash
 
 
 def test_near_copies_with_one_changed_word_are_found(spark):
@@ -33,3 +33,15 @@ def test_copies_of_one_text_are_one_group_though_copies_differ(spark, monkeypatc
     assert all(like(sets[0], s) >= 0.8 for s in sets)
     out = simhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
     assert {r.component_id for r in out.collect()} == {0}
+
+
+def test_found_identifiers_support_further_contexts_and_are_found_anywhere(spark):
+    texts = [f"please write to s{i}@mail.org today then go" for i in range(8)]
+    texts += [f"please write to v{i}(at)mail today then go" for i in range(16)]
+    texts += [f"now forward all to v{i}(at)mail desk then go" for i in range(8)]
+    texts += ["now forward all to z99(at)mail desk then go", "you please write to v0(at)mail today again", "v0(at)mail", "w0(at)mail"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.redact_stage(spark, docs, "").collect()}
+    assert clean[8] == "please write to [EMAIL] today then go"  # more unseen identifiers than seeds
+    assert clean[32] == "now forward all to [EMAIL] desk then go"  # no seed ever stands there
+    assert clean[34] == "[EMAIL]" and clean[35] == "w0(at)mail"
