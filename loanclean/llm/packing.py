@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = Fal
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokens.encoder(path)
+        coder = tokens.encoder(path, split_special=False)
         for batch in batches:
             for begin, texts in tokens.slices(batch.column(1)):
                 flat, counts = tokens.with_end(*coder.encode(texts))

@@ -51,7 +51,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, mb: float = 32) ->
     """Encode every whole text, with end id 0, and write the token file at ``path``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, shard, before = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
+        coder, shard, before = tokens.encoder(tokenizer, split_special=False), TaskContext.get().partitionId(), 0
         for batch in batches:
             for begin, texts in tokens.slices(batch.column(1)):
                 flat, counts = tokens.with_end(*coder.encode(texts))

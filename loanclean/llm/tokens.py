@@ -5,7 +5,7 @@ whatever stands around it, so a text's ids are those of its pieces between them.
 They also cut between letters and punctuation behind them. Pieces recur: each is
 encoded by the library once and its ids are kept (up to a number of pieces, then the
 store starts anew). New pieces are encoded many at a time in one string. Texts in which
-white space meets a blank or newline, and tokenizers that don't cut there, go to the
+white space meets a blank or newline or that hold an added token, and tokenizers that don't cut there, go to the
 library whole.
 """
 
@@ -26,25 +26,30 @@ _MEETING = ("  ", " \n", "\n ", "\n\n")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _START = "\0"  # before the first piece of a text
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker process for a tokenizer file; its store outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, split_special: bool = True) -> Encoder:
+    """The encoder of this worker process for a tokenizer file; its store outlives a task.
+
+    ``split_special``: a special token that a text spells out is ordinary text; else it is
+    the special id, the library's default.
+    """
+    if (path, split_special) not in _encoders:
+        _encoders[path, split_special] = Encoder(path, split_special)
+    return _encoders[path, split_special]
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, split_special: bool = True):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = split_special
+        self.added = [a.content for a in self.tok.get_added_tokens_decoder().values() if not (split_special and a.special)]
         self.mode = "whole"
         if isinstance(self.tok.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tok.normalizer is None:
             self.mode = "blank"  # a piece's first id begins with the blank before it
@@ -163,6 +168,8 @@ class Encoder:
         return self._gather(run), np.diff(upto[np.concatenate([[0], np.cumsum(counts)])])
 
     def _whole(self, text: str) -> bool:
+        if any(a in text for a in self.added):
+            return True
         if self.mode != "blank":
             return self.mode == "whole"
         if any(m in text for m in _MEETING) or _START in text:

@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from loanclean.llm import pii, simhash
+from loanclean.llm import pii, simhash, tokens
 
 
 def test_near_copies_with_one_changed_word_are_found(spark):
@@ -45,3 +46,14 @@ def test_found_identifiers_support_further_contexts_and_are_found_anywhere(spark
     assert clean[8] == "please write to [EMAIL] today then go"  # more unseen identifiers than seeds
     assert clean[32] == "now forward all to [EMAIL] desk then go"  # no seed ever stands there
     assert clean[34] == "[EMAIL]" and clean[35] == "w0(at)mail"
+
+
+@pytest.mark.parametrize("path", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_in_texts_are_those_of_the_library(path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["<|endoftext|> a", "a b<|startoftext|>c <|endoftext|>", "plain words, here", "<|ENDOFTEXT|>", "<|endof text|>"]
+    ids, counts = tokens.encoder(public_tokenizers.path(path), split_special=False).encode(texts)
+    plain = Tokenizer.from_file(public_tokenizers.path(path))
+    assert [ids[e - n : e].tolist() for e, n in zip(np.cumsum(counts), counts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
