@@ -348,7 +348,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, slack:
         return pd.DataFrame(rows, columns=["text", "fp", "sketch", "shingles"])
 
     def known(named: DataFrame) -> DataFrame:
-        own = docs.join(named.select(F.col("node").alias("doc_id")).distinct(), "doc_id").select("doc_id", sets("text").alias("s")).select("s.*")
+        texts = stage(docs.join(named.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text"), "texts")
+        own = texts.select(sets("text").alias("s")).select("s.*")
         return own.join(named.select("text").distinct(), "text", "left_semi").groupBy("text").agg(*[F.first(c).alias(c) for c in ("fp", "sketch", "shingles")])
 
     labels = components(similar_edges(classes, known, parts, similarity, similarity - slack))
