@@ -19,7 +19,7 @@ from loanclean.plans import jobs
 from loanclean.session import tune
 from loanclean.sources import loans as generated
 from loanclean.sources.staging import staging_path
-from loanclean.sources.text_csv import null_cells, read_text_csv, write_csv
+from loanclean.sources.text_csv import null_cells, read_named_csv, read_text_csv, write_csv
 from loanclean.values import LOAN_COLUMNS, NUMERIC_COLUMNS
 
 # Words of the advisor notes that need no second look.
@@ -52,6 +52,21 @@ def scan_text_csv(spark, sf):
     return read_text_csv(spark, path)
 
 
+def _mixed(spark, sf):
+    return read_named_csv(spark, f"{fixture.mixed_csv(spark, sf)}/*/*.txt", fixture.MIXED_COLUMNS)
+
+
+@query
+def scan_by_name(spark, sf):
+    """Files with their columns in other orders, missing columns and ragged rows, put together by name."""
+    return _mixed(spark, sf).rows
+
+
+@query
+def scan_rejects(spark, sf):
+    return _mixed(spark, sf).rejects.select("reason", "n_cells", "expected", "record", "customer_id")
+
+
 # --------------------------------------------------------------------- layer 1
 
 

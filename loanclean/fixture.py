@@ -8,9 +8,12 @@ text runs on Spark and on any other SQL engine. ``k`` is the order key and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from loanclean.sources.staging import stage
+from loanclean.sources.staging import stage, staging_path
 from loanclean.values import CANONICAL_PURPOSES, LOAN_COLUMNS
 
 MONTH_NAMES = "JanFebMarAprMayJunJulAugSepOctNovDec"
@@ -208,6 +211,43 @@ def layer2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "layer2", layer2_sql("{orders}"))
 
 
+# Files of one folder with different headers. Of the rows, one in 40 lacks its last cell
+# and another one in 40 has a cell too many.
+MIXED_COLUMNS = ["customer_id", "full_name", "zip_code", "loan_amnt", "purpose"]
+MIXED_LAYOUTS = [MIXED_COLUMNS, MIXED_COLUMNS[::-1], ["zip_code", "customer_id", "branch", "full_name", "loan_amnt"]]
+MIXED_FAULT = "case k % 40 when 7 then 'short' when 9 then 'surplus' end"
+
+
+def _cell(column: str) -> str:
+    x = "'main'" if column == "branch" else column
+    return f"""case when instr({x}, ',') > 0 or instr({x}, '"') > 0 then concat('"', replace({x}, '"', '""'), '"') else {x} end"""
+
+
+def mixed_sql(loans: str = "loans") -> str:
+    """(layout, fault, record, columns): every row as the line of a CSV file."""
+    lines = []
+    for names in MIXED_LAYOUTS:
+        cells = [_cell(c) for c in names]
+        lines.append(f"case {MIXED_FAULT} when 'short' then concat({", ',', ".join(cells[:-1])}) when 'surplus' then concat({", ',', ".join(cells)}, ',spare') else concat({", ',', ".join(cells)}) end")
+    record = " ".join(f"when {i} then {line}" for i, line in enumerate(lines))
+    return f"select k % {len(lines)} as layout, {MIXED_FAULT} as fault, case k % {len(lines)} {record} end as record, {', '.join(MIXED_COLUMNS)} from {loans}"
+
+
+def mixed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of CSV files with different headers, written anew."""
+    path = staging_path(spark, "mixed-csv")
+    rows = spark.sql(mixed_sql("{loans}"), loans=raw_loans(spark, sf_dir))
+    for i, names in enumerate(MIXED_LAYOUTS):
+
+        def with_header(batches: Iterator[pd.DataFrame], header: str = ",".join(names)) -> Iterator[pd.DataFrame]:
+            yield pd.DataFrame({"value": [header]})
+            yield from batches
+
+        lines = rows.where(f"layout = {i}").select(rows["record"].alias("value"))
+        lines.mapInPandas(with_header, "value string").write.text(f"{path}/layout={i}")
+    return path
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True dates of the original customers."""
     loans = raw_loans(spark, sf_dir)

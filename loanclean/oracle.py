@@ -113,6 +113,21 @@ def _uses(sql: str, table: str) -> bool:
     return re.search(rf"\b(?:from|join)\s+{table}\b", sql) is not None
 
 
+# ------------------------------------------------------------------ mixed files
+
+TABLES["mixed"] = fixture.mixed_sql()
+
+
+def _by_name(column: str) -> str:
+    """The column as its file gives it: null where the header lacks it or the row is cut off before it."""
+    gone = [f"layout = {i}" if column not in names else f"(layout = {i} and fault = 'short')" for i, names in enumerate(fixture.MIXED_LAYOUTS) if column not in names or names[-1] == column]
+    return f"case when {' or '.join([*gone, 'false'])} then null else {column} end"
+
+
+_MIXED = ", ".join(f"{_null_in(_by_name(c), CSV_NULLS)} as {c}" for c in fixture.MIXED_COLUMNS)
+_REJECTED = f"""select fault as reason, cast(case fault when 'short' then 4 else 6 end as int) as n_cells, cast(5 as int) as expected, record,
+  {_by_name('customer_id')} as customer_id from mixed where fault is not null"""
+
 # ------------------------------------------------------------------ date tables
 
 
@@ -423,6 +438,8 @@ _BATCHED = "requests as (select idx // 100 as batch_id, count(*) as n, to_json(l
 
 ORACLES: dict[str, str] = {
     "scan_text_csv": _with("csv") + f"select {_ALL} from csv",
+    "scan_by_name": _with("mixed") + f"select {_MIXED} from mixed where fault is null or fault = 'short'",
+    "scan_rejects": _with("mixed") + _REJECTED,
     "missing_markers": _with("marked") + f"select {_ALL} from marked",
     "numeric_coerce": _with("numbers") + "select * from numbers",
     "range_rules": _with("ranged") + "select customer_id, loan_amnt, fico_score, dti, annual_inc from ranged",
