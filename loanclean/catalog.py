@@ -419,6 +419,22 @@ def escalation_resolve(spark, sf):
     return escalation.escalate(_raw(spark, sf), _trim_notes, "row_pos", done=fixture.layer2(spark, sf))
 
 
+def _short_only(request: str) -> str:
+    """A resolver that fails on some requests of more than 30 records."""
+    records = json.loads(request)
+    if len(records) > 30 and int(records[0]["customer_id"][-1]) % 2 == 0:
+        raise ValueError("too long")
+    return json.dumps({"records": records})
+
+
+@query
+def retry_rounds(spark, sf):
+    """Attempts of three rounds: failed batches come again in halves until all have an answer."""
+    asking = escalation.Asking(staging_path(spark, "retries"), rounds=3, attempts=1)
+    escalation.escalate(_raw(spark, sf), _short_only, "row_pos", asking=asking)
+    return escalation.read_log(spark, asking.under("records").path).select("round", "batch_id", "n", "status")
+
+
 @query
 def resume_todo(spark, sf):
     return escalation.still_to_do(_raw(spark, sf), fixture.layer2(spark, sf)).select("customer_id", "row_pos")

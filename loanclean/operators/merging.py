@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanclean.values import ESCALATED_COLUMNS
 
 
+def one_per_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
+    """The table as it is, or an error, once it is read, that names a key of several rows."""
+    fault = F.raise_error(F.concat(F.lit(f"{key} has several rows: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    counted = df.withColumn("_rows", F.count("*").over(Window.partitionBy(key)))
+    return counted.where(F.when(F.col("_rows") > 1, fault.cast("boolean")).otherwise(True)).select(df.columns)
+
+
 def keyed_update(df: DataFrame, new: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Overwrite cells by key; a null in ``new`` leaves the old cell."""
+    """Overwrite cells by key; a null in ``new`` leaves the old cell. ``new`` must have one row per key."""
+    new = one_per_key(new, key)
     fresh = [c for c in new.columns if c != key and c in df.columns]
     renamed = new.select(key, *[F.col(c).alias(f"_new_{c}") for c in fresh])
     merged = df.join(renamed, key, "left")
@@ -17,11 +25,11 @@ def keyed_update(df: DataFrame, new: DataFrame, key: str = "customer_id") -> Dat
 
 
 def replace_rows(df: DataFrame, new: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Drop the rows whose key was done again and append the new rows, which must be whole."""
+    """Drop the rows whose key was done again and append the new rows, which must be whole and one per key."""
     missing = set(df.columns) - set(new.columns)
     if missing:
         raise ValueError(f"the new rows lack {sorted(missing)}")
-    return df.join(new.select(key).distinct(), key, "left_anti").unionByName(new.select(df.columns))
+    return df.join(new.select(key).distinct(), key, "left_anti").unionByName(one_per_key(new.select(df.columns), key))
 
 
 def final_merge(layer1: DataFrame, layer2: DataFrame, flags: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -45,8 +53,10 @@ def overlay_rows(rules: DataFrame, given: DataFrame, keep_rules: bool, key: str
     """The columns of the second layer from ``given``, by key, put right by rows with ``dates_open``.
 
     Dates that rules are sure of stay. A row that ``given`` lacks keeps what the
-    rules gave it, or is null in these columns without ``keep_rules``.
+    rules gave it, or is null in these columns without ``keep_rules``. ``given``
+    must have one row per key.
     """
+    given = one_per_key(given.select(key, *ESCALATED_COLUMNS), key)
     names = {c: f"_given_{c}" for c in ESCALATED_COLUMNS}
     found = given.select(key, *ESCALATED_COLUMNS, F.lit(True).alias("_there")).withColumnsRenamed(names)
     there = F.col("_there").isNotNull()

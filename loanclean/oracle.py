@@ -436,8 +436,27 @@ _FINAL_COLUMNS = {c: v for c, v in _LAYER1_COLUMNS.items() if c not in ("applica
 
 _BATCHED = "requests as (select idx // 100 as batch_id, count(*) as n, to_json(list(" + _JSON_RECORD + " order by idx)) as request from numbered group by all)"
 
+# Rounds of asking: batches that fail are halved, the first half having as many records or one more.
+_FAILS = "n > 30 and cast(right(head, 1) as int) % 2 = 0"
+
+
+def _round(number: int, rows: str) -> str:
+    """Rows (batch_id, j, customer_id) of a round with their batch's size and first customer."""
+    return f"""round{number} as (select *, count(*) over (partition by batch_id) as n, first(customer_id) over (partition by batch_id order by j) as head
+      from ({rows}) rows)"""
+
+
+def _halved(number: int) -> str:
+    half = "(n + 1) // 2"
+    return f"select batch_id * 2 + case when j >= {half} then 1 else 0 end as batch_id, case when j >= {half} then j - {half} else j end as j, customer_id from round{number} where {_FAILS}"
+
+
+_ROUNDS = ", ".join([_round(0, "select idx // 100 as batch_id, idx % 100 as j, customer_id from numbered"), _round(1, _halved(0)), _round(2, _halved(1))])
+_ATTEMPTS = " union all ".join(f"select distinct {i} as round, batch_id, n, case when {_FAILS} then 'failed' else 'ok' end as status from round{i}" for i in range(3))
+
 ORACLES: dict[str, str] = {
     "scan_text_csv": _with("csv") + f"select {_ALL} from csv",
+    "retry_rounds": _with("numbered", extra=_ROUNDS) + _ATTEMPTS,
     "scan_by_name": _with("mixed") + f"select {_MIXED} from mixed where fault is null or fault = 'short'",
     "scan_rejects": _with("mixed") + _REJECTED,
     "missing_markers": _with("marked") + f"select {_ALL} from marked",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loanclean.operators import quality
 from loanclean.operators.cleaning import clean_layer1, null_markers, repair_notes
 from loanclean.operators.dating import date_rule_check, overlay_dates, resolve_date_pairs, rule_dates, solver_outcomes
-from loanclean.operators.escalation import Resolver, append_done, escalate, judge_pairs, recheck_queue, still_to_do
+from loanclean.operators.escalation import Asking, Resolver, append_done, escalate, judge_pairs, recheck_queue, still_to_do
 from loanclean.operators.linkage import Linkage, duplicate_flags, find_duplicates, pair_payload
 from loanclean.operators.merging import flag_rows, keyed_update, overlay_rows, replace_rows
 from loanclean.values import ESCALATED_COLUMNS
@@ -35,10 +35,10 @@ def _rules(layer1: DataFrame, vocabulary: list[str] | None) -> DataFrame:
     return rows if vocabulary is not None else rows.withColumn("needs_review", F.lit(False))
 
 
-def _answers(raw: DataFrame, rules: DataFrame, resolver: Resolver, position: str, escalate_all: bool) -> DataFrame:
+def _answers(raw: DataFrame, rules: DataFrame, resolver: Resolver, position: str, escalate_all: bool, asking: Asking) -> DataFrame:
     """The resolver's rows for what rules left open, from the raw values."""
     asked = raw if escalate_all else raw.join(rules.where("dates_open or needs_review").select(KEY), KEY, "left_semi")
-    return escalate(asked.select(KEY, position, *ESCALATED_COLUMNS), resolver, position)
+    return escalate(asked.select(KEY, position, *ESCALATED_COLUMNS), resolver, position, asking=asking)
 
 
 def second_layer(
@@ -48,6 +48,7 @@ def second_layer(
     done: DataFrame | None = None,
     escalate_all: bool = False,
     vocabulary: list[str] | None = None,
+    asking: Asking = Asking(),
 ) -> DataFrame:
     """Dates and notes of every record.
 
@@ -55,12 +56,13 @@ def second_layer(
     resolver. Records with open dates go to the resolver; with a ``vocabulary``
     also those whose repaired note holds other words, or all records with
     ``escalate_all``. Without a resolver, open dates stay null. Rows in
-    ``done`` are taken as they are.
+    ``done`` are taken as they are. ``asking`` says where replies are kept and how
+    failed batches are asked again.
     """
     todo = raw if done is None else still_to_do(raw, done)
     rows = _rules(null_markers(todo.select(KEY, *ESCALATED_COLUMNS)), vocabulary)
     if resolver is not None:
-        rows = overlay_rows(rows, _answers(todo, rows, resolver, position, escalate_all), keep_rules=True)
+        rows = overlay_rows(rows, _answers(todo, rows, resolver, position, escalate_all, asking), keep_rules=True)
     rows = rows.select(KEY, *ESCALATED_COLUMNS)
     return rows if done is None else append_done(done, rows)
 
@@ -77,6 +79,7 @@ def clean_loans(
     vocabulary: list[str] | None = None,
     link: Linkage | None = None,
     link_on: str = "raw",
+    asking: Asking = Asking(),
 ) -> Cleaned:
     """Raw text table to the final table.
 
@@ -97,11 +100,11 @@ def clean_loans(
         layer2 = overlay_dates(layer2, resolve_date_pairs(raw))
     else:
         if resolver is not None:
-            rows = overlay_rows(rows, _answers(raw, rows, resolver, position, escalate_all), keep_rules=True)
+            rows = overlay_rows(rows, _answers(raw, rows, resolver, position, escalate_all, asking), keep_rules=True)
         layer2 = rows.select(KEY, *ESCALATED_COLUMNS)
     if verdicts is None and pair_resolver is not None:
         gray = link.pairs.where(F.col("decision") == "gray")
-        verdicts = judge_pairs(pair_payload(gray, raw, position=position), pair_resolver)
+        verdicts = judge_pairs(pair_payload(gray, raw, position=position), pair_resolver, asking=asking)
     confirmed = None
     if verdicts is not None:
         confirmed = verdicts.where("is_duplicate").select(F.col("record_a_id").alias("id_a"), F.col("record_b_id").alias("id_b"))
@@ -109,11 +112,11 @@ def clean_loans(
     return Cleaned(final, link, layer2)
 
 
-def second_pass(layer2: DataFrame, raw: DataFrame, resolver: Resolver, position: str = "row_pos") -> DataFrame:
+def second_pass(layer2: DataFrame, raw: DataFrame, resolver: Resolver, position: str = "row_pos", asking: Asking = Asking()) -> DataFrame:
     """Send the records that break the gap rule once more, from their raw values, and replace them."""
     broken = date_rule_check(layer2, strict=True)
     queue = recheck_queue(broken, raw, columns=[KEY, position, *ESCALATED_COLUMNS])
-    return replace_rows(layer2, escalate(queue, resolver, position))
+    return replace_rows(layer2, escalate(queue, resolver, position, asking=asking))
 
 
 def min_gap_pass(layer2: DataFrame, raw: DataFrame) -> DataFrame:
