@@ -232,6 +232,21 @@ def pair_scores(spark, sf):
     return pairs.select("id_a", "id_b", *scores, "total_score", "decision", F.col("n_pairs").cast("bigint").alias("n_pairs"))
 
 
+@query
+def block_report(spark, sf):
+    """Blocks by size class, of the table with one large block."""
+    rows = linkage.block_rows(null_cells(fixture.crowded_loans(spark, sf)))
+    return linkage.block_report(rows).withColumns({c: F.col(c).cast("bigint") for c in ("size_class", "n_pairs")})
+
+
+@query
+def crowded_pairs(spark, sf):
+    """Scored pairs where one block holds a twelfth of all rows, nearly all of them different people."""
+    link = linkage.find_duplicates(null_cells(fixture.crowded_loans(spark, sf)), staged=True)
+    scores = link.pairs.groupBy("decision", F.round("total_score", 6).alias("total_score"))
+    return scores.agg(F.sum("n_pairs").cast("bigint").alias("n_pairs"))
+
+
 @query
 def dup_triage(spark, sf):
     counts = linkage.triage_counts(_link(spark, sf))

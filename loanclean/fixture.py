@@ -248,6 +248,28 @@ def mixed_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+# One block that grows with the data: a share of all rows are different people of one
+# name and zip code.
+_HASH = f"md5({_text('k')})"
+CROWDED = {
+    "full_name": f"concat(substr({_HASH}, 1, 7), ' Smith')",
+    "email": f"concat(substr({_HASH}, 8, 8), '@', substr({_HASH}, 16, 4), '.org')",
+    "street_address": f"concat({_text('1 + k % 97')}, ' ', substr({_HASH}, 20, 9))",
+    "zip_code": "'00000'",
+}
+
+
+def crowded_sql(loans: str = "loans", one_in: int = 12) -> str:
+    """The linkage columns of the loans, of which one in ``one_in`` live in one block."""
+    crowd = f"(k % {one_in} = 1)"
+    cells = [f"case when {crowd} then {v} else {c} end as {c}" for c, v in CROWDED.items()]
+    return f"select customer_id, row_pos, phone, {', '.join(cells)} from {loans}"
+
+
+def crowded_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(crowded_sql("{loans}"), loans=raw_loans(spark, sf_dir))
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True dates of the original customers."""
     loans = raw_loans(spark, sf_dir)

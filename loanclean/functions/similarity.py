@@ -6,6 +6,8 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -152,13 +154,11 @@ def _jaro_winkler_block(a: np.ndarray, b: np.ndarray, la: np.ndarray, lb: np.nda
     return np.where(jaro > 0.7, jaro + prefix * 0.1 * (1.0 - jaro), jaro)
 
 
-def _numbered(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """A number per row and the distinct texts in the order of their numbers."""
-    seen: dict[str, int] = {}
-    numbers = np.fromiter((seen.setdefault(t, len(seen)) for t in texts), dtype=np.int64, count=len(texts))
-    distinct = np.empty(len(seen), dtype=object)
-    distinct[:] = list(seen)
-    return numbers, distinct
+def _numbered(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number per row, and the distinct texts in the order of their numbers with their lengths."""
+    coded = pa.array(texts, pa.large_string()).dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+    return coded.indices.to_numpy().astype(np.int64), distinct, pc.utf8_length(coded.dictionary).to_numpy().astype(np.int64)
 
 
 def jaro_winkler_array(a: pd.Series, b: pd.Series) -> np.ndarray:
@@ -172,12 +172,11 @@ def jaro_winkler_array(a: pd.Series, b: pd.Series) -> np.ndarray:
     live = np.flatnonzero((a.notna() & b.notna()).to_numpy())
     if len(live) == 0:
         return out
-    xa, va = _numbered(a.iloc[live])
-    xb, vb = _numbered(b.iloc[live])
+    xa, va, na = _numbered(a.iloc[live])
+    xb, vb, nb = _numbered(b.iloc[live])
     pair, back = np.unique(xa * len(vb) + xb, return_inverse=True)
-    ta, tb = va[pair // len(vb)], vb[pair % len(vb)]
-    la = np.fromiter(map(len, ta), dtype=np.int64, count=len(ta))
-    lb = np.fromiter(map(len, tb), dtype=np.int64, count=len(tb))
+    ia, ib = pair // len(vb), pair % len(vb)
+    ta, la, tb, lb = va[ia], na[ia], vb[ib], nb[ib]
     score = np.where((ta == tb) & (la > 0), 1.0, 0.0)
     todo = np.flatnonzero((ta != tb) & (la > 0) & (lb > 0))
     longest = np.maximum(la, lb)
@@ -201,22 +200,59 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(jaro_winkler_array(a, b))
 
 
+# A text's characters as a set of bits: each (character, how often it came before) sets
+# one of 128. What the other text's set lacks, the texts cannot share.
+_SIGNATURE_BITS = 128
+
+
+def signature(text: Column) -> Column:
+    """struct(size, low, high, head): length, bit set of the characters, and the first four packed into a long."""
+    chars = F.array_sort(characters(text))
+    places = F.transform(chars, lambda c, i: F.pmod(F.xxhash64(c, i - F.array_position(chars, c)), F.lit(_SIGNATURE_BITS)))
+    word = lambda first: F.aggregate(
+        places, F.lit(0).cast("bigint"), lambda acc, p: F.when((p >= first) & (p < first + 64), acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (p - first).cast("int")))).otherwise(acc)
+    )
+    letter = lambda i: F.pmod(F.ascii(F.substring(text, i + 1, 1)), F.lit(1 << 15)).cast("bigint") * (1 << (45 - 15 * i))
+    head = letter(0) + letter(1) + letter(2) + letter(3)
+    made = F.struct(F.length(text).alias("size"), word(0).alias("low"), word(64).alias("high"), head.alias("head"))
+    return F.when(F.length(text) > 0, made)
+
+
+def jaro_winkler_bound(a: Column, b: Column) -> Column:
+    """A number that the Jaro-Winkler similarity of two texts, given by their signatures, never exceeds.
+
+    Shared characters are at most those of either text that the other's set does not
+    lack; all count as in order. 0 where a text is null or empty.
+    """
+    lacking = lambda x, y: F.bit_count(x["low"].bitwiseAND(F.bitwise_not(y["low"]))) + F.bit_count(x["high"].bitwiseAND(F.bitwise_not(y["high"])))
+    shared = F.least(a["size"] - lacking(a, b), b["size"] - lacking(b, a))
+    jaro = (shared / a["size"] + shared / b["size"] + 1.0) / 3.0
+    apart = a["head"].bitwiseXOR(b["head"])
+    prefix = F.when(apart == 0, 4).when(apart < 1 << 15, 3).when(apart < 1 << 30, 2).when(apart < 1 << 45, 1).otherwise(0)
+    return F.coalesce(F.when(shared > 0, jaro + prefix * 0.1 * (1.0 - jaro)), F.lit(0.0))
+
+
 def make_pair_scorer(names: list[str], low: float):
     """Function that scores field pairs one after the other.
 
-    The first argument is the score already known for each pair. A pair that
-    cannot reach ``low`` any more, even with full marks in all later fields,
-    gets nulls from there on and is not scored further.
+    The first argument is the score already known for each pair; then come, if there are
+    any, an upper bound for every field (else it is 1), and both sides of every field. A pair that cannot reach ``low`` any
+    more, even at the bounds of all later fields, gets nulls from there on and is not
+    scored further.
     """
 
-    def score(known: pd.Series, *sides: pd.Series) -> pd.DataFrame:
+    def score(known: pd.Series, *rest: pd.Series) -> pd.DataFrame:
         total = known.to_numpy(dtype=float).copy()
+        sides = rest[-2 * len(names) :]
+        bounds = [b.to_numpy(dtype=float) for b in rest[: -2 * len(names)]] or [np.ones(len(total))] * len(names)
+        left = sum(bounds, np.zeros(len(total)))
         out = {}
         for i, name in enumerate(names):
-            open_rows = np.flatnonzero(total + (len(names) - i) >= low - 1e-6)
+            open_rows = np.flatnonzero(total + left >= low - 1e-6)
             column = np.full(len(total), np.nan)
             column[open_rows] = jaro_winkler_array(sides[2 * i].iloc[open_rows], sides[2 * i + 1].iloc[open_rows])
             total = total + column  # NaN from a skipped field keeps the pair out
+            left = left - bounds[i]
             out[name] = column
         return pd.DataFrame(out)
 

@@ -4,13 +4,16 @@ Rows are first collapsed to *profiles*: rows that agree in every linkage field
 are one profile with a row count. Copies of a record, however many, therefore
 cost one row in the join, and the pairs among them are counted, not listed.
 Profiles meet inside their block only. A block of many profiles is cut into
-tiles, so its comparisons spread over many tasks. Of the compared pairs only
-those that reach the lower threshold leave the job.
+tiles that meet in cells of about equal work, so its comparisons spread over many
+tasks. A pair whose scores cannot reach the lower threshold, by a bound on each
+similarity that costs a few bit operations, is dropped by the join itself; only
+the others are scored. Of these, pairs that reach the threshold leave the job.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,13 +21,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from loanclean.functions.similarity import make_pair_scorer
+from loanclean.functions.similarity import jaro_winkler_bound, make_pair_scorer, signature
 from loanclean.functions.text import last_word_upper
 from loanclean.operators.positions import POSITION_BITS, position_buckets
 from loanclean.sources.staging import stage
 from loanclean.values import PAIR_FIELDS, PAIR_HIGH, PAIR_LOW
 
-TILE_PROFILES = 200  # profiles per tile of a large block
+CELL_PAIRS = (40_000, 4_000_000)  # least and most pairs of a cell
+CELLS_PER_TASK = 16  # so that cells of equal work make tasks of equal work
 
 # Compared columns, cheapest first, and the name of each score.
 FUZZY_FIELDS = {"full_name": "name_score", "street_address": "address_score", "email": "email_score"}
@@ -84,12 +88,28 @@ def profiles(rows: DataFrame) -> DataFrame:
     )
 
 
-def large_blocks(rows: DataFrame, tile_profiles: int = TILE_PROFILES) -> DataFrame:
-    """Blocks with too many distinct profiles for one task, and their number of tiles."""
+def block_report(rows: DataFrame) -> DataFrame:
+    """Blocks by size class: rows from 2^k on, with their number, rows, pairs and the largest block.
+
+    No block is left out of the linkage; the report says which keys make it costly.
+    """
+    size_class = F.floor(F.log2("n_rows")).cast("int").alias("size_class")
+    sizes = block_sizes(rows).groupBy(size_class)
+    return sizes.agg(F.count("*").alias("n_blocks"), F.sum("n_rows").alias("n_rows"), F.sum("n_pairs").alias("n_pairs"), F.max("n_rows").alias("largest"))
+
+
+def tile_size(prof: DataFrame) -> int:
+    """Profiles of a tile, so that there are many more cells than tasks and none is large: one number from the block sizes."""
+    sizes = prof.groupBy(*BLOCK).agg(F.count("*").cast("double").alias("n"))
+    pairs = sizes.agg(F.sum(F.col("n") * F.col("n") / 2)).first()[0] or 0.0
+    tasks = int(prof.sparkSession.conf.get("spark.sql.shuffle.partitions")) * CELLS_PER_TASK
+    return isqrt(int(min(max(pairs / tasks, CELL_PAIRS[0]), CELL_PAIRS[1])))
+
+
+def large_blocks(prof: DataFrame, tile_profiles: int) -> DataFrame:
+    """Blocks with too many distinct profiles for one cell, and their number of tiles."""
     return (
-        rows.select(*BLOCK, "profile")
-        .distinct()
-        .groupBy(*BLOCK)
+        prof.groupBy(*BLOCK)
         .agg(F.count("*").alias("_size"))
         .where(F.col("_size") > tile_profiles)
         .select(*BLOCK, F.ceil(F.col("_size") / tile_profiles).cast("int").alias("_tiles"))
@@ -118,13 +138,16 @@ def _cross_pairs(prof: DataFrame, large: DataFrame, low: float) -> DataFrame:
     """Pairs of different profiles of a block with a total score of at least ``low``."""
     # The join shuffles by itself, so that Spark may merge and split its partitions;
     # a cell holds two tiles at most.
-    cells = _cells(prof, large)
+    marks = {f"{c}_mark": signature(F.col(c)) for c in FUZZY_FIELDS}
+    cells = _cells(prof.withColumns(marks), large)
     a, b = cells.alias("a").hint("merge"), cells.alias("b")
     same_cell = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*BLOCK, "hi", "lo"]]
     meet_here = (F.col("a.tile") != F.col("b.tile")) | (F.col("a.hi") == F.col("a.lo"))
     later_first = F.col("a.pos") > F.col("b.pos")
-    met = a.join(b, [*same_cell, meet_here, later_first], "inner")
     exact = F.coalesce((F.col(f"a.{EXACT_FIELD}") == F.col(f"b.{EXACT_FIELD}")).cast("double"), F.lit(0.0))
+    bounds = [jaro_winkler_bound(F.col(f"a.{c}_mark"), F.col(f"b.{c}_mark")) for c in FUZZY_FIELDS]
+    within_reach = sum(bounds, exact) >= low - 1e-6
+    met = a.join(b, [*same_cell, meet_here, later_first, within_reach], "inner")
     scorer = F.pandas_udf(
         make_pair_scorer(list(FUZZY_FIELDS.values()), low),
         StructType([StructField(s, DoubleType()) for s in FUZZY_FIELDS.values()]),
@@ -133,7 +156,7 @@ def _cross_pairs(prof: DataFrame, large: DataFrame, low: float) -> DataFrame:
     scored = met.select(
         *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("profile", "id", "n", "pos") for side in ("a", "b")],
         exact.alias(EXACT_SCORE),
-        scorer(exact, *sides).alias("_fuzzy"),
+        scorer(exact, *bounds, *sides).alias("_fuzzy"),
     )
     return scored.select("*", "_fuzzy.*").drop("_fuzzy")
 
@@ -180,18 +203,21 @@ def find_duplicates(
     position: str = "row_pos",
     low: float = PAIR_LOW,
     high: float = PAIR_HIGH,
-    tile_profiles: int = TILE_PROFILES,
+    tile_profiles: int | None = None,
     staged: bool = False,
 ) -> Linkage:
     """Block, score and triage.
 
+    Large blocks are cut into tiles of ``tile_profiles``; without it, by the measured
+    work of all blocks.
+
     Several jobs read the three tables. ``staged`` writes each of them once, so
     that no job repeats the work of an earlier one; otherwise all is lazy.
     """
     keep = stage if staged else (lambda table, name: table)
     rows = keep(block_rows(df, key, position), "link-rows")
     prof = keep(profiles(rows), "link-profiles")
-    pairs = keep(scored_pairs(prof, large_blocks(prof, tile_profiles), low, high), "link-pairs")
+    pairs = keep(scored_pairs(prof, large_blocks(prof, tile_profiles or tile_size(prof)), low, high), "link-pairs")
     return Linkage(rows.select("id", "pos", "profile", *BLOCK), prof, pairs)
 
 

@@ -193,6 +193,10 @@ TABLES["flags"] = """select id, arg_max(partner, rank) as duplicate_of from (
     select id_a as id, id_b as partner, pos_b + case when decision = 'gray' then 1000000000000 else 0 end as rank
     from row_pairs where decision = 'auto_dup' or (decision = 'gray' and same_address)
     union all select id_a, max(id_b), 2000000000000 from profile_pairs where decision = 'gray' and address_score = 1 group by id_a) r group by id"""
+TABLES["crowded"] = f"""select * from (select customer_id as id, row_pos as pos, nullif(upper(regexp_extract(trim(full_name), '[^ ]+$')), '') as last_name, zip_code,
+  full_name, email, phone, street_address from (select customer_id, row_pos, {", ".join(f"{_null_in(c, CSV_NULLS)} as {c}" for c in ("full_name", "email", "phone", "street_address", "zip_code"))}
+  from ({fixture.crowded_sql()}) people) t) named where last_name is not null and zip_code is not null"""
+TABLES["crowded_rows"] = _scored("crowded", "")
 TABLES["numbered"] = "select *, row_number() over (order by row_pos) - 1 as idx from csv"
 
 # ------------------------------------------------------------------- draws in SQL
@@ -495,6 +499,9 @@ ORACLES: dict[str, str] = {
     "date_rule_check_strict": _with("broken") + "select customer_id, application_date, issue_date, gap_days from broken",
     "block_pairs": _with("link") + """select a.last_name, a.zip_code, count(distinct a.id) as n_rows, count(b.id) as n_pairs
       from link a left join link b on a.last_name = b.last_name and a.zip_code = b.zip_code and a.pos > b.pos group by 1, 2""",
+    "block_report": _with("crowded") + """select cast(floor(log2(n)) as bigint) as size_class, count(*) as n_blocks, cast(sum(n) as bigint) as n_rows,
+      cast(sum(n * (n - 1) // 2) as bigint) as n_pairs, max(n) as largest from (select count(*) as n from crowded group by last_name, zip_code) sizes group by 1""",
+    "crowded_pairs": _with("crowded_rows") + "select decision, round(total_score, 6) as total_score, count(*) as n_pairs from crowded_rows where decision <> 'auto_not' group by 1, 2",
     "pair_scores": _with("profile_pairs") + "select * from profile_pairs",
     "dup_triage": _with("row_pairs") + "select decision, count(*) as n_pairs from row_pairs group by 1",
     "gray_payload": _with("profile_pairs", "csv") + f"select p.id_a, p.id_b, cast({_pair_json('a')} as varchar) as record_a, cast({_pair_json('b')} as varchar) as record_b "

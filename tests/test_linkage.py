@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_expressions import python_jaro_winkler
 
+from loanclean.functions.similarity import jaro_winkler_bound, signature
 from loanclean.operators import linkage, quality
 
 COLUMNS = "customer_id string, row_pos long, full_name string, email string, phone string, street_address string, zip_code string"
@@ -132,3 +133,49 @@ def test_quality_numbers(spark):
     truth = spark.createDataFrame([("D1", "L1"), ("D2", "L2")], "duplicate_id string, original_id string")
     got = quality.duplicate_quality(link, truth).collect()[0]
     assert (got.true_pairs, got.true_found, got.found, got.precision, got.recall) == (2, 1, 1, 1.0, 0.5)
+
+
+def test_a_bound_is_never_exceeded(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdeé日 .") for _ in range(rng.randint(0, 14)))
+    rows = []
+    for _ in range(3000):
+        a = word()
+        b = "".join(c for c in a if rng.random() < 0.8) + word()[:2] if rng.random() < 0.5 else word()
+        rows.append((rng.choice([a, a, a, None]) if rng.random() < 0.05 else a, b))
+    rows += [("abcd", "abcd"), ("", ""), ("a" * 300, "a" * 290), ("ab" * 100, "ba" * 100)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", jaro_winkler_bound(signature(F.col("a")), signature(F.col("b"))).alias("bound")).collect()
+    close = 0
+    for r in got:
+        exact = python_jaro_winkler(r.a, r.b)
+        assert exact <= r.bound + 1e-9, r
+        close += r.bound - exact < 0.15
+    assert close > len(got) / 3
+
+
+def test_most_pairs_of_a_block_never_reach_python(spark):
+    """Different people of one block: the bound settles nearly all of their pairs, and none that counts."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    rows = [(f"C{i}", i, f"{text(7)} Smith", f"{text(8)}@{text(4)}.org", str(i), f"{rng.randint(1, 97)} {text(9)}", "1") for i in range(300)]
+    rows += [(f"D{i}", 1000 + i, rows[i][2].replace("a", "e"), rows[i][3], rows[i][4], rows[i][5] + ".", "1") for i in range(40)]
+    prof = linkage.profiles(linkage.block_rows(spark.createDataFrame(rows, COLUMNS)))
+    total = 340 * 339 // 2
+    kept = linkage._cross_pairs(prof, linkage.large_blocks(prof, 100), 2.3).count()
+    assert 40 <= kept < total / 20
+    print(f"{1 - kept / total:.1%} of {total} pairs settled by the bound")
+    pairs = linkage.find_duplicates(spark.createDataFrame(rows, COLUMNS)).pairs.collect()
+    want = {(a[0], b[0]): t for a, b, t in brute_force(rows) if t >= 2.3}
+    assert {(p.id_a, p.id_b): p.total_score for p in pairs} == pytest.approx(want) and len(want) >= 40
+
+
+def test_cells_are_of_about_equal_work(spark):
+    rows = [(f"C{i}", i, f"N{i} Smith", None, None, None, "1" if i < 600 else str(i % 90)) for i in range(900)]
+    prof = linkage.profiles(linkage.block_rows(spark.createDataFrame(rows, COLUMNS)))
+    cells = linkage._cells(prof, linkage.large_blocks(prof, 50))
+    work = sorted(r["count"] for r in cells.groupBy("zip_code", "hi", "lo").count().where("zip_code = '1' and hi <> lo").collect())
+    assert len(work) == 13 * 12 // 2 and work[-1] <= 1.6 * work[len(work) // 2]
+    assert linkage.tile_size(prof) == 200 and linkage.tile_size(prof.limit(0)) == 200
+    report = {r.size_class: (r.n_blocks, r.n_rows, int(r.n_pairs), r.largest) for r in linkage.block_report(linkage.block_rows(spark.createDataFrame(rows, COLUMNS))).collect()}
+    assert report[9] == (1, 603, 603 * 602 // 2, 603) and sum(v[1] for v in report.values()) == 900
