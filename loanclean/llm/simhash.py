@@ -358,14 +358,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, slack:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near or exact copies the smallest doc_id stays.
+    """Pipeline stage: of each group that the fingerprints of 3-word shingles link the smallest doc_id stays.
 
-    Repeated rows of one doc_id with equal words are one document: one of them stays.
+    Links are those of ``op3_simhash_components``: 3 differing bits or fewer, with no other
+    check. Texts without words have fingerprint zero and are linked like any other.
+    Repeated rows of one doc_id with equal texts are one document: one of them stays.
     Rows without doc_id stay as they are.
     """
-    groups = near_duplicates(docs)
+    named = docs.where("doc_id is not null")
+    prints = stage(named.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_column(3).alias("fp")), "prints")
+    groups = fingerprint_components(prints, shards(docs, 4))
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
-    doubles = kept.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    kept = named.join(gone, "doc_id", "left_anti").select(docs.columns)
+    doubles = prints.groupBy("doc_id").count().where("count > 1").select("doc_id")
     again = kept.join(doubles, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
     return kept.join(doubles, "doc_id", "left_anti").select(docs.columns).unionByName(again).unionByName(docs.where("doc_id is null"))
