@@ -20,10 +20,10 @@ from loanclean.session import tune
 from loanclean.sources import loans as generated
 from loanclean.sources.staging import staging_path
 from loanclean.sources.text_csv import null_cells, read_named_csv, read_text_csv, write_csv
-from loanclean.values import LOAN_COLUMNS, NUMERIC_COLUMNS
+from loanclean.values import HOME_VARIANTS, LOAN_COLUMNS, NUMERIC_COLUMNS, PURPOSE_VARIANTS
 
 # Words of the advisor notes that need no second look.
-NOTE_WORDS = ["steady", "income", "employed", "years", "verified"]
+NOTE_WORDS = ["desk", "remark", "on", "income", "filed", "applicant", "employed", "for", "years", "at", "one", "firm"]
 
 QUERIES = {}
 
@@ -210,8 +210,15 @@ def date_rule_check_strict(spark, sf):
 # --------------------------------------------------------------------- linkage
 
 
+_links: dict[tuple[str, str], linkage.Linkage] = {}
+
+
 def _link(spark, sf) -> linkage.Linkage:
-    return linkage.find_duplicates(_raw(spark, sf), staged=True)
+    """The linkage of the raw table, staged once per session like the table itself."""
+    slot = (spark.conf.get("spark.app.id"), sf)
+    if slot not in _links:
+        _links[slot] = linkage.find_duplicates(_raw(spark, sf), staged=True)
+    return _links[slot]
 
 
 def _confirmed(link: linkage.Linkage) -> DataFrame:
@@ -227,8 +234,9 @@ def block_pairs(spark, sf):
 
 @query
 def pair_scores(spark, sf):
+    """Always linked anew, so that its time is that of the linkage."""
     scores = [F.round(c, 9).alias(c) for c in ("name_score", "email_score", "phone_score", "address_score")]
-    pairs = _link(spark, sf).pairs
+    pairs = linkage.find_duplicates(_raw(spark, sf), staged=True).pairs
     return pairs.select("id_a", "id_b", *scores, "total_score", "decision", F.col("n_pairs").cast("bigint").alias("n_pairs"))
 
 
@@ -298,19 +306,20 @@ def dup_quality(spark, sf):
 
 @query
 def final_merge(spark, sf):
+    """The final table of the job, with a given second layer and verdicts."""
+    return _job(spark, sf, _link(spark, sf)).final
+
+
+def _job(spark, sf, link: linkage.Linkage) -> jobs.Cleaned:
+    verdicts = _confirmed(link).select(F.col("id_a").alias("record_a_id"), F.col("id_b").alias("record_b_id"), F.lit(True).alias("is_duplicate"))
     raw = _raw(spark, sf).select(*LOAN_COLUMNS, "row_pos")
-    link = _link(spark, sf)
-    layer2 = dating.overlay_dates(fixture.layer2(spark, sf), dating.resolve_date_pairs(raw))
-    flags = linkage.duplicate_flags(link, _confirmed(link))
-    return merging.final_merge(cleaning.clean_layer1(raw).drop("row_pos"), layer2, flags)
+    return jobs.clean_loans(raw, layer2=fixture.layer2(spark, sf), verdicts=verdicts, link=link)
 
 
 @query
 def whole_job(spark, sf):
-    link = _link(spark, sf)
-    verdicts = _confirmed(link).select(F.col("id_a").alias("record_a_id"), F.col("id_b").alias("record_b_id"), F.lit(True).alias("is_duplicate"))
-    raw = _raw(spark, sf).select(*LOAN_COLUMNS, "row_pos")
-    return jobs.clean_loans(raw, layer2=fixture.layer2(spark, sf), verdicts=verdicts, link=link).final
+    """The same with a linkage of its own, from the raw table to the final one."""
+    return _job(spark, sf, linkage.find_duplicates(_raw(spark, sf), staged=True)).final
 
 
 def _trim_notes(request: str) -> str:
@@ -565,8 +574,8 @@ def inject_decimal_comma(spark, sf):
 
 @query
 def inject_categories(spark, sf):
-    df = corrupt.inject_variants(_clean_text(spark, sf), "home_ownership", corrupt.HOME_VARIANTS, 0.15)
-    df = corrupt.inject_variants(df, "purpose", corrupt.PURPOSE_VARIANTS, 0.10)
+    df = corrupt.inject_variants(_clean_text(spark, sf), "home_ownership", HOME_VARIANTS, 0.15)
+    df = corrupt.inject_variants(df, "purpose", PURPOSE_VARIANTS, 0.10)
     return corrupt.inject_grade(df).select("customer_id", "home_ownership", "purpose", "grade")
 
 

@@ -64,7 +64,7 @@ RATE = _cents("531 + (k * 37) % 2500")
 INCOME = _cents("1500000 + (k * 7717) % 38500000")
 DTI = _cents("(k * 53) % 4500")
 FICO = _text("600 + k % 251")
-NOTE = f"concat('Steady income, employed ', {_text('1 + k % 10')}, ' years, papers verified.')"
+NOTE = f"concat('Desk remark: papers on income filed, applicant employed for ', {_text('1 + k % 10')}, ' years at one firm.')"
 APP, ISS = "app", "iss"
 
 # column: (clean value, [(condition, dirty value), ...])

@@ -76,10 +76,12 @@ def sentence_case(col: Column) -> Column:
 def repair_note(note: Column, typos: list[tuple[str, str]] = NOTE_TYPOS) -> Column:
     """Undo all-capitals text and put known misspellings right in any case, in a squeezed note."""
     note = F.when((note == F.upper(note)) & (note != F.lower(note)), sentence_case(note)).otherwise(note)
+    fixed = note
     for right, wrong in typos:
-        begun = F.replace(note, F.lit(wrong.capitalize()), F.lit(right.capitalize()))
-        note = F.regexp_replace(begun, f"(?i){wrong}", right)
-    return note
+        begun = F.replace(fixed, F.lit(wrong.capitalize()), F.lit(right.capitalize()))
+        fixed = F.regexp_replace(begun, f"(?i){wrong}", right)
+    # a note without a misspelling is searched once
+    return F.when(note.rlike("(?i)" + "|".join(wrong for _, wrong in typos)), fixed).otherwise(note) if typos else note
 
 
 def note_words(col: Column) -> Column:

@@ -1,51 +1,38 @@
 """Controlled dirt for clean loan tables, with a log of every change.
 
-Each injector is a projection: it changes some cells and notes the change in an
-array column ``dirt`` of the same row. The log of all injectors is read from
-that column in one pass. Rows are chosen by a draw per row (each row has the
-given chance). With ``exact_in``, a table of the same ids, exactly
+An injector is a list of changes: a cell's new value as an expression on the old one,
+and which rows it meets. Any number of changes, in their order, becomes one projection
+that also notes them in an array column ``dirt`` of the same row. The log of all
+injectors is read from that column in one pass. Rows are chosen by a draw per row (each
+row has the given chance). With ``exact_in``, a table of the same ids, exactly
 ``int(rows * share)`` rows are taken instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanclean.functions import draws
 from loanclean.functions.text import NOT_A_DIGIT
 from loanclean.operators.positions import index_by_digest, mark_exact_share
-from loanclean.values import NOTE_TYPOS
+from loanclean.values import (
+    COMMA_SKIPS,
+    HOME_VARIANTS,
+    MESSY_DATE_FORMATS,
+    MISSING_PLAN,
+    NOTE_TYPOS,
+    PHONE_LAYOUTS,
+    PHONE_SKIPS,
+    PURPOSE_VARIANTS,
+)
 
 KEY = "customer_id"
 DIRT = "dirt"
 
-# Markers per column and the share of rows they replace.
-MISSING_PLAN = [
-    ("annual_inc", 0.04, ["", "NULL", "N/A", "unknown", "-1"]),
-    ("emp_title", 0.06, ["", "n/a", "N/A", "unknown", "???"]),
-    ("dti", 0.03, ["", "NULL", "nan", "999"]),
-    ("zip_code", 0.02, ["", "00000", "N/A"]),
-    ("phone", 0.03, ["", "N/A", "no phone"]),
-]
-MESSY_DATE_FORMATS = ["yyyy-MM-dd", "dd/MM/yyyy", "MM-dd-yyyy", "dd MMM yyyy", "yyyy/MM/dd"]
-COMMA_SKIPS = ["", "NULL", "N/A", "unknown", "-1", "nan", "999"]
-PHONE_SKIPS = ["", "N/A", "no phone"]
-PHONE_LAYOUTS = ["({}) {}-{}", "{}.{}.{}", "{}-{}-{}", "{}{}{}"]
-HOME_VARIANTS = {
-    "RENT": ["rent", "Rent", " RENT", "RENT ", "rented"],
-    "MORTGAGE": ["mortgage", "Mortgage", "MORTGAGE ", "mortgaged"],
-    "OWN": ["own", "Own", " OWN"],
-    "OTHER": ["other", "Other", "OTHER "],
-}
-PURPOSE_VARIANTS = {
-    "debt_consolidation": ["Debt Consolidation", "debt consolidation", "DEBT_CONSOLIDATION", "dept_consolidation"],
-    "credit_card": ["Credit Card", "creditcard", "credit-card"],
-    "home_improvement": ["Home Improvement", "home_improvment", "homeimprovement"],
-    "small_business": ["Small Business", "small buisness"],
-}
-
-
 def as_text(df: DataFrame) -> DataFrame:
     """All columns as text, with an empty ``dirt`` column."""
     cells = [F.col(c).cast("string").alias(c) for c in df.columns if c != DIRT]
@@ -56,106 +43,156 @@ def _dig(seed: int, name: str) -> Column:
     return draws.digest(seed, name, F.col(KEY))
 
 
-def _choose(df: DataFrame, name: str, share: float, seed: int, exact_in: DataFrame | None) -> DataFrame:
-    """Add ``_hit``: the rows that this injector touches."""
+@dataclass(frozen=True)
+class Change:
+    """New values for a share of the rows. ``new`` and ``only`` are given the cell as the changes before left it."""
+
+    column: str
+    name: str
+    share: float
+    dirt_type: str
+    new: Callable[[Column], Column]
+    only: Callable[[Column], Column] | None = None
+
+
+def _choose(df: DataFrame, name: str, share: float, seed: int, exact_in: DataFrame | None, mark: str = "_hit") -> DataFrame:
+    """Add ``mark``: the rows that this change meets."""
     dig = _dig(seed, f"{name}/rows")
     if exact_in is None:
-        return df.withColumn("_hit", draws.uniform(dig, 0) < share)
+        return df.withColumn(mark, draws.uniform(dig, 0) < share)
     ids = exact_in.select(dig.alias("_dig"))
-    return mark_exact_share(df.withColumn("_dig", dig), "_dig", share, "_hit", among=ids).drop("_dig")
+    return mark_exact_share(df.withColumn("_dig", dig), "_dig", share, mark, among=ids).drop("_dig")
+
+
+def apply_changes(df: DataFrame, changes: list[Change], seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
+    """All changes, in their order, as one projection; draws decide the rows, or numbers of rows among ``exact_in``."""
+    marks = {i: draws.uniform(_dig(seed, f"{c.name}/rows"), 0) < c.share for i, c in enumerate(changes)}
+    names = df.columns
+    if exact_in is not None:
+        for i, c in enumerate(changes):
+            df = _choose(df, c.name, c.share, seed, exact_in, f"_hit{i}")
+            marks[i] = F.col(f"_hit{i}")
+    cells, entries = {c: F.col(c) for c in names}, []
+    for i, c in enumerate(changes):
+        cell = cells[c.column]
+        hit = marks[i] if c.only is None else marks[i] & F.coalesce(c.only(cell), F.lit(False))
+        cells[c.column] = F.when(hit, c.new(cell)).otherwise(cell)
+        entries.append(F.when(hit, F.struct(F.lit(c.column).alias("column"), F.lit(c.dirt_type).alias("dirt_type"))))
+    cells[DIRT] = F.concat(F.col(DIRT), F.array_compact(F.array(*entries)))
+    return df.select(*[cells[c].alias(c) for c in names])
+
+
+def missing(col: str, share: float, markers: list[str], seed: int) -> list[Change]:
+    name = f"missing/{col}"
+    return [Change(col, name, share, "missing_marker", lambda _: draws.pick(markers, _dig(seed, name), 0))]
+
+
+def date_format(col: str, share: float, formats: list[str], seed: int) -> list[Change]:
+    name = f"date_format/{col}"
+
+    def new(cell: Column) -> Column:
+        which, day = draws.number(_dig(seed, name), 0) % len(formats), F.to_date(cell)
+        return F.coalesce(*[F.when(which == i, F.date_format(day, fmt)) for i, fmt in enumerate(formats)])
+
+    return [Change(col, name, share, "date_format", new)]
+
+
+def decimal_comma(col: str, share: float) -> list[Change]:
+    return [Change(col, f"comma/{col}", share, "decimal_comma", lambda cell: F.translate(cell, ".", ","), lambda cell: ~cell.isin(COMMA_SKIPS))]
+
+
+def variants(col: str, spellings: dict[str, list[str]], share: float, seed: int) -> list[Change]:
+    name = f"variant/{col}"
 
+    def new(cell: Column) -> Column:
+        dig = _dig(seed, name)
+        return F.coalesce(*[F.when(cell == value, draws.pick(others, dig, 0)) for value, others in spellings.items()])
 
-def _change(df: DataFrame, col: str, new: Column, dirt_type: str, only: Column | None = None) -> DataFrame:
-    """Put ``new`` into the chosen rows and note it."""
-    hit = F.col("_hit") if only is None else F.col("_hit") & F.coalesce(only, F.lit(False))
-    entry = F.array(F.struct(F.lit(col).alias("column"), F.lit(dirt_type).alias("dirt_type")))
-    changed = {col: F.when(hit, new).otherwise(F.col(col)), DIRT: F.when(hit, F.concat(DIRT, entry)).otherwise(F.col(DIRT))}
-    return df.withColumns(changed).drop("_hit")
+    return [Change(col, name, share, "category_variant", new, lambda cell: cell.isin(list(spellings)))]
+
+
+def grade_variants(col: str, share: float, seed: int) -> list[Change]:
+    def new(g: Column) -> Column:
+        which = draws.number(_dig(seed, "variant/grade"), 0) % 4
+        return (
+            F.when(which == 0, F.lower(g)).when(which == 1, F.concat(F.lit(" "), g))
+            .when(which == 2, F.concat(g, F.lit(" "))).otherwise(F.concat(F.lit("grade "), g))
+        )
+
+    return [Change(col, "variant/grade", share, "category_variant", new)]
+
+
+def text_noise(col: str, share: float, typos: list[tuple[str, str]], seed: int) -> list[Change]:
+    def new(text: Column) -> Column:
+        for i, (right, wrong) in enumerate(typos):
+            u = draws.uniform(_dig(seed, f"noise/typo{i // 4}"), i % 4)
+            text = F.replace(text, F.lit(right), F.when(u < 0.5, F.lit(wrong)).otherwise(F.lit(right)))
+        style = _dig(seed, "noise/style")
+        capital, padded = draws.uniform(style, 0) < 0.3, draws.uniform(style, 1) < 0.3
+        return F.when(capital, F.upper(text)).when(padded, F.concat(F.lit("  "), text, F.lit("   "))).otherwise(text)
+
+    return [Change(col, "noise", share, "text_noise", new)]
+
+
+def outliers(share: float, seed: int) -> list[Change]:
+    amount = lambda _: F.concat(F.lit("-"), draws.between(1000, 40000, _dig(seed, "outlier/loan_amnt"), 0).cast("string"))
+    ratio = lambda _: draws.between(150, 999, _dig(seed, "outlier/dti"), 0).cast("string")
+    plan = [("loan_amnt", amount, "outlier_negative"), ("fico_score", lambda _: F.lit("9999"), "outlier_impossible"), ("dti", ratio, "outlier_impossible")]
+    return [Change(col, f"outlier/{col}", share, kind, new) for col, new, kind in plan]
+
+
+def phone_layouts(col: str, share: float, seed: int) -> list[Change]:
+    def new(cell: Column) -> Column:
+        digits = F.regexp_replace(cell, NOT_A_DIGIT, "")
+        which = draws.number(_dig(seed, "phone"), 0) % len(PHONE_LAYOUTS)
+        parts = [F.substring(digits, 1, 3), F.substring(digits, 4, 3), F.substring(digits, 7, 4)]
+        made = [F.when(which == i, F.format_string(layout.replace("{}", "%s"), *parts)) for i, layout in enumerate(PHONE_LAYOUTS)]
+        return F.when(F.length(digits) == 10, F.coalesce(*made)).otherwise(cell)
+
+    return [Change(col, "phone", share, "phone_format", new, lambda cell: ~cell.isin(PHONE_SKIPS))]
 
 
 def inject_missing(df: DataFrame, col: str, share: float, markers: list[str], seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
-    name = f"missing/{col}"
-    chosen = _choose(df, name, share, seed, exact_in)
-    return _change(chosen, col, draws.pick(markers, _dig(seed, name), 0), "missing_marker")
+    return apply_changes(df, missing(col, share, markers, seed), seed, exact_in)
 
 
 def inject_date_format(
     df: DataFrame, col: str, share: float = 0.5, formats: list[str] = MESSY_DATE_FORMATS, seed: int = 7, exact_in: DataFrame | None = None
 ) -> DataFrame:
     """Write ISO dates in one of several layouts."""
-    name = f"date_format/{col}"
-    which = draws.number(_dig(seed, name), 0) % len(formats)
-    day = F.to_date(F.col(col))
-    new = F.when(which == 0, F.date_format(day, formats[0]))
-    for i, fmt in enumerate(formats[1:], 1):
-        new = new.when(which == i, F.date_format(day, fmt))
-    return _change(_choose(df, name, share, seed, exact_in), col, new, "date_format")
+    return apply_changes(df, date_format(col, share, formats, seed), seed, exact_in)
 
 
 def inject_decimal_comma(df: DataFrame, col: str, share: float = 0.08, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
-    chosen = _choose(df, f"comma/{col}", share, seed, exact_in)
-    return _change(chosen, col, F.translate(col, ".", ","), "decimal_comma", ~F.col(col).isin(COMMA_SKIPS))
+    return apply_changes(df, decimal_comma(col, share), seed, exact_in)
 
 
 def inject_variants(
-    df: DataFrame, col: str, variants: dict[str, list[str]], share: float, seed: int = 7, exact_in: DataFrame | None = None
+    df: DataFrame, col: str, spellings: dict[str, list[str]], share: float, seed: int = 7, exact_in: DataFrame | None = None
 ) -> DataFrame:
     """Replace known values by one of their other spellings."""
-    name = f"variant/{col}"
-    new, dig = None, _dig(seed, name)
-    for value, spellings in variants.items():
-        pick = draws.pick(spellings, dig, 0)
-        new = F.when(F.col(col) == value, pick) if new is None else new.when(F.col(col) == value, pick)
-    return _change(_choose(df, name, share, seed, exact_in), col, new, "category_variant", F.col(col).isin(list(variants)))
+    return apply_changes(df, variants(col, spellings, share, seed), seed, exact_in)
 
 
 def inject_grade(df: DataFrame, col: str = "grade", share: float = 0.10, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
-    g, which = F.col(col), draws.number(_dig(seed, "variant/grade"), 0) % 4
-    new = (
-        F.when(which == 0, F.lower(g)).when(which == 1, F.concat(F.lit(" "), g))
-        .when(which == 2, F.concat(g, F.lit(" "))).otherwise(F.concat(F.lit("grade "), g))
-    )
-    return _change(_choose(df, "variant/grade", share, seed, exact_in), col, new, "category_variant")
+    return apply_changes(df, grade_variants(col, share, seed), seed, exact_in)
 
 
 def inject_text_noise(
     df: DataFrame, col: str = "advisor_notes", share: float = 0.20, typos: list[tuple[str, str]] = NOTE_TYPOS, seed: int = 7, exact_in: DataFrame | None = None
 ) -> DataFrame:
     """Misspell words, write in capitals or pad with blanks."""
-    text = F.col(col)
-    for i, (right, wrong) in enumerate(typos):
-        u = draws.uniform(_dig(seed, f"noise/typo{i // 4}"), i % 4)
-        text = F.when(u < 0.5, F.replace(text, F.lit(right), F.lit(wrong))).otherwise(text)
-    style = _dig(seed, "noise/style")
-    text = (
-        F.when(draws.uniform(style, 0) < 0.3, F.upper(text))
-        .when(draws.uniform(style, 1) < 0.3, F.concat(F.lit("  "), text, F.lit("   ")))
-        .otherwise(text)
-    )
-    return _change(_choose(df, "noise", share, seed, exact_in), col, text, "text_noise")
+    return apply_changes(df, text_noise(col, share, typos, seed), seed, exact_in)
 
 
 def inject_outliers(df: DataFrame, share: float = 0.01, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
     """Impossible loan amounts, scores and debt ratios."""
-    amount = F.concat(F.lit("-"), draws.between(1000, 40000, _dig(seed, "outlier/loan_amnt"), 0).cast("string"))
-    ratio = draws.between(150, 999, _dig(seed, "outlier/dti"), 0).cast("string")
-    plan = [("loan_amnt", amount, "outlier_negative"), ("fico_score", F.lit("9999"), "outlier_impossible"), ("dti", ratio, "outlier_impossible")]
-    for col, new, kind in plan:
-        df = _change(_choose(df, f"outlier/{col}", share, seed, exact_in), col, new, kind)
-    return df
+    return apply_changes(df, outliers(share, seed), seed, exact_in)
 
 
 def inject_phone(df: DataFrame, col: str = "phone", share: float = 0.30, seed: int = 7, exact_in: DataFrame | None = None) -> DataFrame:
     """Other layouts for ten-digit phone numbers."""
-    digits = F.regexp_replace(col, NOT_A_DIGIT, "")
-    which = draws.number(_dig(seed, "phone"), 0) % len(PHONE_LAYOUTS)
-    parts = [F.substring(digits, 1, 3), F.substring(digits, 4, 3), F.substring(digits, 7, 4)]
-    new = None
-    for i, layout in enumerate(PHONE_LAYOUTS):
-        made = F.format_string(layout.replace("{}", "%s"), *parts)
-        new = F.when(which == i, made) if new is None else new.when(which == i, made)
-    new = F.when(F.length(digits) == 10, new).otherwise(F.col(col))
-    return _change(_choose(df, "phone", share, seed, exact_in), col, new, "phone_format", ~F.col(col).isin(PHONE_SKIPS))
+    return apply_changes(df, phone_layouts(col, share, seed), seed, exact_in)
 
 
 def dirt_log(df: DataFrame) -> DataFrame:
@@ -192,21 +229,16 @@ def inject_duplicates(
 
 
 def make_dirty(df: DataFrame, seed: int = 7, exact: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All injectors in order. Returns the dirty text table, the duplicate truth and the log."""
-    out = as_text(df)
+    """All injectors in order, in one projection. Returns the dirty text table, the duplicate truth and the log."""
     exact_in = df.select(KEY) if exact else None
-    for col, share, markers in MISSING_PLAN:
-        out = inject_missing(out, col, share, markers, seed, exact_in)
+    changes = [c for col, share, markers in MISSING_PLAN for c in missing(col, share, markers, seed)]
     for col in ("application_date", "issue_date"):
-        out = inject_date_format(out, col, seed=seed, exact_in=exact_in)
+        changes += date_format(col, 0.5, MESSY_DATE_FORMATS, seed)
     for col in ("loan_amnt", "int_rate", "dti", "annual_inc"):
-        out = inject_decimal_comma(out, col, seed=seed, exact_in=exact_in)
-    out = inject_variants(out, "home_ownership", HOME_VARIANTS, 0.15, seed, exact_in)
-    out = inject_grade(out, seed=seed, exact_in=exact_in)
-    out = inject_variants(out, "purpose", PURPOSE_VARIANTS, 0.10, seed, exact_in)
-    out = inject_text_noise(out, seed=seed, exact_in=exact_in)
-    out = inject_outliers(out, seed=seed, exact_in=exact_in)
-    out = inject_phone(out, seed=seed, exact_in=exact_in)
+        changes += decimal_comma(col, 0.08)
+    changes += variants("home_ownership", HOME_VARIANTS, 0.15, seed) + grade_variants("grade", 0.10, seed) + variants("purpose", PURPOSE_VARIANTS, 0.10, seed)
+    changes += text_noise("advisor_notes", 0.20, NOTE_TYPOS, seed) + outliers(0.01, seed) + phone_layouts("phone", 0.30, seed)
+    out = apply_changes(as_text(df), changes, seed, exact_in)
     log = dirt_log(out)
     table, truth = inject_duplicates(out.drop(DIRT), seed=seed, exact_in=exact_in)
     return table, truth, log

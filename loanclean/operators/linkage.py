@@ -28,6 +28,7 @@ from loanclean.sources.staging import stage
 from loanclean.values import PAIR_FIELDS, PAIR_HIGH, PAIR_LOW
 
 CELL_PAIRS = (40_000, 4_000_000)  # least and most pairs of a cell
+LONG_LIST = 100_000  # rows of a profile and its visitors that one task may sweep over
 CELLS_PER_TASK = 16  # so that cells of equal work make tasks of equal work
 
 # Compared columns, cheapest first, and the name of each score.
@@ -240,50 +241,57 @@ def flags_from_pairs(pairs: DataFrame, order_by: str) -> DataFrame:
     return pairs.groupBy(F.col("id_a").alias("id")).agg(F.max_by("id_b", order_by).alias("duplicate_of"))
 
 
+_RUNNING = ("own", "guest0", "guest1")
+
+
 def _slice_ends(ends: DataFrame, names: list[str]) -> DataFrame:
     """The last rows before each slice of a list, from the last rows of the slices."""
     *above, last = names
     before = W.partitionBy("list", *above).orderBy(last).rowsBetween(W.unboundedPreceding, -1)
-    here = ends.select("list", *names, F.max("own").over(before).alias("own_end"), F.max("guest_row").over(before).alias("guest_end"))
+    here = ends.select("list", *names, *[F.max(c).over(before).alias(f"{c}_end") for c in _RUNNING])
     if not above:
         return here
-    wider = ends.groupBy("list", *above).agg(F.max("own").alias("own"), F.max("guest_row").alias("guest_row"))
-    wider = _slice_ends(wider, above).withColumnsRenamed({"own_end": "own_far", "guest_end": "guest_far"})
-    nearest = [F.greatest(f"{c}_end", f"{c}_far").alias(f"{c}_end") for c in ("own", "guest")]
+    wider = ends.groupBy("list", *above).agg(*[F.max(c).alias(c) for c in _RUNNING])
+    wider = _slice_ends(wider, above).withColumnsRenamed({f"{c}_end": f"{c}_far" for c in _RUNNING})
+    nearest = [F.greatest(f"{c}_end", f"{c}_far").alias(f"{c}_end") for c in _RUNNING]
     return here.join(wider, ["list", *above]).select("list", *names, *nearest)
 
 
-def _before_in_list(events: DataFrame) -> DataFrame:
-    """For each event the last own and the last guest row before it in its list.
+def _before_in_list(events: DataFrame, sliced: bool) -> DataFrame:
+    """For each event the last own row and the last guest row of each rank before it in its list.
 
-    A list may hold a third of all rows, so it is cut by position: the running
-    value is taken inside a slice, and each slice inherits the end of the
-    slices before it. Slices lie in wider slices, as buckets of positions do.
+    A list may hold a third of all rows. Where one is long (``sliced``), lists are cut
+    by position: the running value is taken inside a slice, and each slice inherits the
+    end of the slices before it. Slices lie in wider slices, as buckets of positions do.
     """
-    own = F.when(~F.col("guest"), F.struct("pos", "id"))
-    guest = F.when(F.col("guest"), F.struct("pos", "id"))
-    slices = {f"slice{i}": b for i, b in enumerate(position_buckets("pos", POSITION_BITS))}
-    events = events.withColumns(slices)
+    at = F.struct("pos", "id")
+    kinds = {"own": F.col("guest").isNull(), "guest0": F.col("guest") == 0, "guest1": F.col("guest") == 1}
+    marked = {c: F.when(kinds[c], at) for c in _RUNNING}
+    slices = {f"slice{i}": b for i, b in enumerate(position_buckets("pos", POSITION_BITS))} if sliced else {}
+    events = events.withColumns(slices) if sliced else events
     inside = W.partitionBy("list", *slices).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
-    ends = _slice_ends(events.groupBy("list", *slices).agg(F.max(own).alias("own"), F.max(guest).alias("guest_row")), list(slices))
-    here = events.withColumns({"own_in": F.last(own, True).over(inside), "guest_in": F.last(guest, True).over(inside)})
-    return here.join(ends, ["list", *slices]).select(
-        "id", "guest", "self_ok",
-        F.coalesce("own_in", "own_end").alias("own"),
-        F.coalesce("guest_in", "guest_end").alias("guest_row"),
-    )
-
-
-def last_partner(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """For every row the latest earlier row that one of the pairs links it to.
-
-    Pairs of two single rows answer this themselves. Where a profile has
-    several rows, the rows of the smaller profile visit the list of the larger
-    one, so a pair costs as many rows as its smaller side has, never the
-    product of both.
+    if not sliced:
+        return events.withColumns({c: F.last(m, True).over(inside) for c, m in marked.items()})
+    events = stage(events, "list-events")
+    ends = stage(events.groupBy("list", *slices).agg(*[F.max(m).alias(c) for c, m in marked.items()]), "list-slices")
+    here = events.withColumns({f"{c}_in": F.last(m, True).over(inside) for c, m in marked.items()})
+    both = [F.coalesce(f"{c}_in", f"{c}_end").alias(c) for c in _RUNNING]
+    return here.join(_slice_ends(ends, list(slices)), ["list", *slices]).select("id", "guest", "self_rank", *both)
+
+
+def last_partner(rows: DataFrame, pairs: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
+    """For every row the latest earlier row that one of the pairs links it to, and the ``rank`` of that pair.
+
+    Pairs have a ``rank``, 0 or 1; a partner of rank 1 goes before all of rank 0. Pairs of
+    two single rows answer this themselves. Where a profile has several rows, the rows
+    of the smaller profile visit the list of the larger one, so a pair costs as many
+    rows as its smaller side has, never the product of both. All ranks share one sweep
+    over the lists. How long the longest list is takes a job over the pairs; only with
+    lists of over ``long_list`` rows are lists cut by position.
     """
     single = (F.col("n_a") == 1) & (F.col("n_b") == 1)
-    direct = pairs.where(single).select(F.col("id_a").alias("id"), F.struct(F.col("pos_b").alias("pos"), F.col("id_b").alias("id")).alias("hit"))
+    partner = F.struct("rank", F.col("pos_b").alias("pos"), F.col("id_b").alias("id"))
+    direct = pairs.where(single).select(F.col("id_a").alias("id"), partner.alias("hit"))
 
     grouped = pairs.where(~single)
     itself = F.col("profile_a") == F.col("profile_b")
@@ -291,34 +299,38 @@ def last_partner(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     visits = grouped.where(~itself).select(
         F.when(a_small, F.col("profile_a")).otherwise(F.col("profile_b")).alias("profile"),
         F.when(a_small, F.col("profile_b")).otherwise(F.col("profile_a")).alias("list"),
+        F.least("n_a", "n_b").alias("n_guests"),
+        F.greatest("n_a", "n_b").alias("n_own"),
+        "rank",
     )
-    selves = grouped.where(itself).select(F.col("profile_a").alias("list"), F.lit(True).alias("self_ok"))
+    selves = grouped.where(itself).select(F.col("profile_a").alias("list"), F.col("rank").alias("self_rank"), F.col("n_a").alias("n_own"), F.lit(0).cast("bigint").alias("n_guests"))
     lists = (
-        selves.unionByName(visits.select("list", F.lit(False).alias("self_ok")))
+        selves.unionByName(visits.select("list", F.lit(None).cast("int").alias("self_rank"), "n_own", "n_guests"))
         .groupBy("list")
-        .agg(F.max("self_ok").alias("self_ok"))
+        .agg(F.max("self_rank").alias("self_rank"), (F.max("n_own") + F.sum("n_guests")).alias("n"))
     )
+    longest = lists.agg(F.max("n")).first()[0] or 0
     at = rows.select("profile", "pos", "id")
-    owners = at.join(lists, at["profile"] == lists["list"]).select("list", "pos", "id", F.lit(False).alias("guest"), "self_ok")
-    guests = at.join(visits, "profile").select("list", "pos", "id", F.lit(True).alias("guest"), F.lit(True).alias("self_ok"))
-    seen = _before_in_list(owners.unionByName(guests))
-    own_hit = F.when(F.col("self_ok"), F.col("own"))  # guests always look at the owners
-    guest_hit = F.when(~F.col("guest"), F.col("guest_row"))
-    listed = seen.select("id", F.greatest(own_hit, guest_hit).alias("hit")).where(F.col("hit").isNotNull())
-    return (
-        direct.unionByName(listed)
-        .groupBy("id")
-        .agg(F.max("hit").alias("hit"))
-        .select("id", F.col("hit.id").alias("duplicate_of"))
+    own = at.join(lists, at["profile"] == lists["list"]).select("list", "pos", "id", F.lit(None).cast("int").alias("guest"), "self_rank")
+    guests = at.join(visits, "profile").select("list", "pos", "id", F.col("rank").alias("guest"), F.lit(None).cast("int").alias("self_rank"))
+    seen = _before_in_list(own.unionByName(guests), longest > long_list)
+    ranked = lambda rank, last: F.when(F.col(last).isNotNull() & rank.isNotNull(), F.struct(rank.alias("rank"), F.col(f"{last}.pos").alias("pos"), F.col(f"{last}.id").alias("id")))
+    owner = F.col("guest").isNull()
+    hits = F.greatest(  # a guest looks at the owners, an owner at guests, and at owners if the profile matches itself
+        ranked(F.coalesce("guest", "self_rank"), "own"), F.when(owner, ranked(F.lit(0), "guest0")), F.when(owner, ranked(F.lit(1), "guest1"))
     )
+    listed = seen.select("id", hits.alias("hit")).where(F.col("hit").isNotNull())
+    best = direct.unionByName(listed).groupBy("id").agg(F.max("hit").alias("hit"))
+    return best.select("id", F.col("hit.id").alias("duplicate_of"), F.col("hit.rank").alias("rank"))
 
 
 def judged_pairs(link: Linkage, confirmed: DataFrame) -> DataFrame:
     """The gray pairs that verdicts (id_a, id_b) mean: any row of either profile, either way round."""
-    at = link.rows.select("id", "profile").distinct()
+    confirmed = confirmed.select("id_a", "id_b").distinct()
+    named = confirmed.select(F.col("id_a").alias("id")).union(confirmed.select("id_b")).distinct()
+    at = link.rows.select("id", "profile").join(named, "id", "left_semi").distinct()
     meant = (
-        confirmed.select("id_a", "id_b").distinct()
-        .join(at.toDF("id_a", "p"), "id_a")
+        confirmed.join(at.toDF("id_a", "p"), "id_a")
         .join(at.toDF("id_b", "q"), "id_b")
         .select(F.least("p", "q").alias("low"), F.greatest("p", "q").alias("high"))
         .distinct()
@@ -336,16 +348,13 @@ def duplicate_flags(link: Linkage, confirmed: DataFrame | None = None) -> DataFr
     records, which get their latest earlier partner. Both take precedence over
     a partner found by the score, the named one over all.
     """
-    found = last_partner(link.rows, link.pairs.where(F.col("decision") == "auto_dup"))
+    auto = link.pairs.where(F.col("decision") == "auto_dup").withColumn("rank", F.lit(0))
     if confirmed is None:
-        return found
+        return last_partner(link.rows, auto).drop("rank")
+    judged = judged_pairs(link, confirmed).withColumn("rank", F.lit(1))
     named = confirmed.where("id_a <> id_b").groupBy(F.col("id_a").alias("id")).agg(F.max("id_b").alias("duplicate_of"))
-    ranked = (
-        found.withColumn("rank", F.lit(0))
-        .unionByName(last_partner(link.rows, judged_pairs(link, confirmed)).withColumn("rank", F.lit(1)))
-        .unionByName(named.withColumn("rank", F.lit(2)))
-    )
-    return ranked.groupBy("id").agg(F.max_by("duplicate_of", "rank").alias("duplicate_of"))
+    found = last_partner(link.rows, auto.unionByName(judged)).unionByName(named.withColumn("rank", F.lit(2)))
+    return found.groupBy("id").agg(F.max_by("duplicate_of", "rank").alias("duplicate_of"))
 
 
 # ---------------------------------------------------------------- gray pairs

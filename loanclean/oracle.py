@@ -11,18 +11,22 @@ import re
 
 from loanclean import fixture
 from loanclean.catalog import NOTE_WORDS
-from loanclean.operators import corrupt
 from loanclean.sources import loans as gen
 from loanclean.values import (
     CANONICAL_PURPOSES,
+    COMMA_SKIPS,
     CSV_NULLS,
     DATE_FORMATS,
+    HOME_VARIANTS,
     LOAN_COLUMNS,
     MISSING_MARKERS,
+    MISSING_PLAN,
     NOTE_TYPOS,
     NUMERIC_COLUMNS,
     PAIR_FIELDS,
+    PHONE_SKIPS,
     PROFILED_COLUMNS,
+    PURPOSE_VARIANTS,
 )
 
 
@@ -282,12 +286,12 @@ def _outlier(col: str, new: str) -> str:
 
 
 def _dirt_log() -> str:
-    hit = {f"{c}_missing": f"{_dirty_uni(f'missing/{c}/rows', 0)} < {s}::double" for c, s, _ in corrupt.MISSING_PLAN}
+    hit = {f"{c}_missing": f"{_dirty_uni(f'missing/{c}/rows', 0)} < {s}::double" for c, s, _ in MISSING_PLAN}
     cols = [f"{v} as {n}" for n, v in hit.items()]
-    for c, _, markers in corrupt.MISSING_PLAN:
+    for c, _, markers in MISSING_PLAN:
         marker = _one_of(markers, _dirty_num(f"missing/{c}", 0))
         cols.append(f"case when {hit[c + '_missing']} then {marker} else {c} end as now_{c}")
-    parts = [("missing_marker", c, f"{c}_missing") for c, _, _ in corrupt.MISSING_PLAN]
+    parts = [("missing_marker", c, f"{c}_missing") for c, _, _ in MISSING_PLAN]
     shares = [("date_format", c, f"date_format/{c}", 0.5) for c in ("application_date", "issue_date")]
     shares += [("category_variant", "home_ownership", "variant/home_ownership", 0.15), ("category_variant", "grade", "variant/grade", 0.10)]
     shares += [("text_noise", "advisor_notes", "noise", 0.2), ("outlier_negative", "loan_amnt", "outlier/loan_amnt", 0.01)]
@@ -295,14 +299,14 @@ def _dirt_log() -> str:
     rows = [f"select '{c}' as \"column\", '{t}' as dirt_type, count(*) filter ({h}) as n from d" for t, c, h in parts]
     for kind, col, name, share in shares:
         rows.append(f"select '{col}', '{kind}', count(*) filter ({_dirty_uni(name + '/rows', 0)} < {share}::double) from d")
-    variants = _texts(list(corrupt.PURPOSE_VARIANTS))
+    variants = _texts(list(PURPOSE_VARIANTS))
     rows.append(f"select 'purpose', 'category_variant', count(*) filter ({_dirty_uni('variant/purpose/rows', 0)} < 0.1::double and purpose in ({variants})) from d")
     for col in ("loan_amnt", "int_rate", "dti", "annual_inc"):
         now = f"now_{col}" if col in ("dti", "annual_inc") else col
         rows.append(
-            f"select '{col}', 'decimal_comma', count(*) filter ({_dirty_uni(f'comma/{col}/rows', 0)} < 0.08::double and {now} not in ({_texts(corrupt.COMMA_SKIPS)})) from d"
+            f"select '{col}', 'decimal_comma', count(*) filter ({_dirty_uni(f'comma/{col}/rows', 0)} < 0.08::double and {now} not in ({_texts(COMMA_SKIPS)})) from d"
         )
-    rows.append(f"select 'phone', 'phone_format', count(*) filter ({_dirty_uni('phone/rows', 0)} < 0.3::double and now_phone not in ({_texts(corrupt.PHONE_SKIPS)})) from d")
+    rows.append(f"select 'phone', 'phone_format', count(*) filter ({_dirty_uni('phone/rows', 0)} < 0.3::double and now_phone not in ({_texts(PHONE_SKIPS)})) from d")
     return _with("clean", extra=f"d as (select *, {', '.join(cols)} from clean)") + f"select * from ({' union all '.join(rows)}) t where n > 0"
 
 
@@ -576,8 +580,8 @@ ORACLES: dict[str, str] = {
       case when hit then 1 else 0 end::bigint as changes from (select *, row_number() over (order by md5('7:missing/annual_inc/rows:' || customer_id)) <= floor(count(*) over () * 0.04::double) as hit from clean) t""",
     "inject_date_format": _with("clean") + f"select customer_id, {_messy_date('issue_date')} as issue_date from clean",
     "inject_decimal_comma": _with("clean") + f"select customer_id, case when {_dirty_uni('comma/int_rate/rows', 0)} < 0.08::double then replace(int_rate, '.', ',') else int_rate end as int_rate from clean",
-    "inject_categories": _with("clean") + f"""select customer_id, {_variants('home_ownership', corrupt.HOME_VARIANTS, 0.15)} as home_ownership,
-      {_variants('purpose', corrupt.PURPOSE_VARIANTS, 0.1)} as purpose,
+    "inject_categories": _with("clean") + f"""select customer_id, {_variants('home_ownership', HOME_VARIANTS, 0.15)} as home_ownership,
+      {_variants('purpose', PURPOSE_VARIANTS, 0.1)} as purpose,
       case when {_dirty_uni('variant/grade/rows', 0)} < 0.1::double then case {_dirty_num('variant/grade', 0)} % 4 when 0 then lower(grade) when 1 then ' ' || grade
         when 2 then grade || ' ' else 'grade ' || grade end else grade end as grade from clean""",
     "inject_text_noise": _with("clean") + _noise(),
