@@ -48,6 +48,7 @@ CROWD = 4096
 BITMAP_BITS = 1 << 26
 DOC_BITS = 1 << 24
 _SLICE = 1 << 18  # bytes at a time: arrays of a slice stay in the cache
+_HELD = 32 << 20  # bytes of contexts, or 16 times the anchors, held before they are passed on
 _MASK = np.uint64((1 << 24) - 1)
 _MUL = 0x9E3779B97F4A7C15
 
@@ -121,20 +122,29 @@ def _taking_part(batch: pa.RecordBatch, copies: np.ndarray) -> list[int]:
 def _gram_counts(texts: DataFrame, copies: np.ndarray) -> DataFrame:
     """(gram, n, contexts): occurrences as anchor, 2 standing for more in a batch, and different contexts, summed over batches."""
 
+    def summed(got: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        gram, mark = (np.concatenate(x) for x in zip(*got))
+        order = np.lexsort((mark, gram))
+        gram, mark = gram[order], mark[order]
+        new = np.concatenate([[True], gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        n = np.diff(np.append(first, len(gram)))
+        other = np.cumsum(new | np.concatenate([[True], mark[1:] != mark[:-1]])) if len(gram) else np.zeros(0, np.int64)
+        contexts = other[first + n - 1] - other[first] + 1
+        return pa.RecordBatch.from_arrays([pa.array(gram[first], pa.int64()), pa.array(np.minimum(n, 2), pa.int32()), pa.array(contexts, pa.int32())], names=["gram", "n", "contexts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, held = [], 0  # summed over batches, up to a number of anchors
         for batch in batches:
-            got = [anchors(pieces) for _, _, pieces in _sliced(batch, _taking_part(batch, copies))]
-            if not got:
-                continue
-            gram, mark = np.concatenate([g[0] for g in got]), np.concatenate([g[5] for g in got])
-            order = np.lexsort((mark, gram))
-            gram, mark = gram[order], mark[order]
-            new = np.concatenate([[True], gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, bool)
-            first = np.flatnonzero(new)
-            n = np.diff(np.append(first, len(gram)))
-            other = np.cumsum(new | np.concatenate([[True], mark[1:] != mark[:-1]])) if len(gram) else np.zeros(0, np.int64)
-            contexts = other[first + n - 1] - other[first] + 1
-            yield pa.RecordBatch.from_arrays([pa.array(gram[first], pa.int64()), pa.array(np.minimum(n, 2), pa.int32()), pa.array(contexts, pa.int32())], names=["gram", "n", "contexts"])
+            for _, _, pieces in _sliced(batch, _taking_part(batch, copies)):
+                found = anchors(pieces)
+                got.append((found[0], found[5]))
+                held += len(found[0])
+                if held * 16 > _HELD:
+                    yield summed(got)
+                    got, held = [], 0
+        if got:
+            yield summed(got)
 
     counted = texts.mapInArrow(run, "gram long, n int, contexts int")
     return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("contexts").alias("contexts"))
@@ -147,35 +157,40 @@ def _contexts(texts: DataFrame, copies: np.ndarray, again: np.ndarray, crowds: n
     least and largest doc_id of its equals in the batch, and crowd: its bit in ``crowds``.
     """
 
+    def packed(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
+        row, start, gram, at = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        context = [c for p in parts for c in p[4]]
+        code = np.fromiter(map(xxhash.xxh3_64_intdigest, context), np.uint64, len(context)).view(np.int64)
+        doc = batch.column(0).to_numpy(zero_copy_only=False)[row]
+        order = np.lexsort((doc, code, gram))
+        g, c = gram[order], code[order]
+        first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])) if len(g) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(g)) - 1
+        low, high, lead = np.zeros(len(g), np.int64), np.zeros(len(g), np.int64), np.zeros(len(g), bool)
+        lead[order[first]], low[order[first]], high[order[first]] = True, doc[order[first]], doc[order[last]]
+        off = ~lead
+        columns = [
+            pa.array(doc, pa.int64()), batch.column(1).take(pa.array(row)), pa.array(start, pa.int64()), pa.array(gram, pa.int64()), pa.array(code, pa.int64()),
+            pa.array(at, pa.int32(), mask=off), pa.array([x if k else None for x, k in zip(context, lead.tolist())], pa.binary()),
+            pa.array(low, mask=off), pa.array(high, mask=off), pa.array(in_bitmap(crowds, gram), mask=off),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "start", "gram", "hash", "at", "context", "low", "high", "crowd"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            parts = []
+            parts, held = [], 0
             for rows, offsets, pieces in _sliced(batch, _taking_part(batch, copies)):
                 gram, piece, start, at, count, _ = anchors(pieces)
                 keep = np.flatnonzero(in_bitmap(again, gram))
                 piece, start, size = piece[keep], start[keep], count[keep] + LENGTH - 1
                 found = [pieces[p][s : s + n] for p, s, n in zip(piece.tolist(), start.tolist(), size.tolist())]
                 parts.append((np.array(rows, np.int64)[piece], start + np.array(offsets, np.int64)[piece], gram[keep], at[keep], found))
-            if not parts:
-                continue
-            row, start, gram, at = (np.concatenate([p[k] for p in parts]) for k in range(4))
-            context = [c for p in parts for c in p[4]]
-            code = np.fromiter(map(digest, context), np.uint64, len(context)).view(np.int64)
-            doc = batch.column(0).to_numpy(zero_copy_only=False)[row]
-            order = np.lexsort((doc, code, gram))
-            g, c = gram[order], code[order]
-            first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])) if len(g) else np.zeros(0, np.int64)
-            last = np.append(first[1:], len(g)) - 1
-            low, high, lead = np.zeros(len(g), np.int64), np.zeros(len(g), np.int64), np.zeros(len(g), bool)
-            lead[order[first]], low[order[first]], high[order[first]] = True, doc[order[first]], doc[order[last]]
-            off = ~lead
-            columns = [
-                pa.array(doc, pa.int64()), batch.column(1).take(pa.array(row)), pa.array(start, pa.int64()), pa.array(gram, pa.int64()), pa.array(code, pa.int64()),
-                pa.array(at, pa.int32(), mask=off), pa.array([x if k else None for x, k in zip(context, lead.tolist())], pa.binary()),
-                pa.array(low, mask=off), pa.array(high, mask=off), pa.array(in_bitmap(crowds, gram), mask=off),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "start", "gram", "hash", "at", "context", "low", "high", "crowd"])
+                held += int(size.sum())
+                if held > _HELD:
+                    yield packed(batch, parts)
+                    parts, held = [], 0
+            if parts:
+                yield packed(batch, parts)
 
     return texts.mapInArrow(run, "doc_id long, digest long, start long, gram long, hash long, at int, context binary, low long, high long, crowd boolean")
 
