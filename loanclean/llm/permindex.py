@@ -4,7 +4,7 @@ A bounded sample of the vectors gives the pivots. Every vector is represented by
 pivots in order of nearness and posted in the inverted file of each of the first
 ``POSTED`` of them. A query visits the files of its own first pivots; there rows are
 ranked by Spearman's footrule between the orders, the best are scored exactly, and the
-best of all files are the answer. Nearness is the inner product, also for the pivots.
+best of all files are the answer. Where that gives too few, it visits all files. Nearness is the inner product, also for the pivots.
 
 Files are cut into blocks of rows and their queries into blocks of queries, so a pivot
 that is near a third of all vectors makes many small cells and not a hot one. Ties go
@@ -94,8 +94,26 @@ def _search_cell(k: int, tried: int):
     return run
 
 
+def _visited(rows: DataFrame, asked: DataFrame, k: int, tried: int) -> DataFrame:
+    """(query_id, vec_id, score): the best rows of each (query, pivot) visit, for rows and queries with the ``pivot`` they are in or go to."""
+    sizes = rows.groupBy("pivot").agg(F.ceil(F.count("*") / ROWS).alias("row_blocks"))
+    sizes = stage(sizes.join(asked.groupBy("pivot").agg(F.ceil(F.count("*") / QUERIES).alias("query_blocks")), "pivot"), "sizes")
+    cell = lambda r, q: F.concat_ws(":", "pivot", r, q).alias("cell")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("other")
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).alias("own")
+    left = rows.join(F.broadcast(sizes), "pivot").select("vec_id", "v", "places", "pivot", own("vec_id", "row_blocks"), every("query_blocks"))
+    right = asked.join(F.broadcast(sizes), "pivot").select("query_id", "v", "places", "pivot", own("query_id", "query_blocks"), every("row_blocks"))
+    left = left.select("vec_id", "v", "places", cell("own", "other"))
+    right = right.select("query_id", F.col("v").alias("qv"), F.col("places").alias("qplaces"), cell("other", "own"))
+    return left.groupBy("cell").cogroup(right.groupBy("cell")).applyInPandas(_search_cell(k, tried), "query_id long, vec_id long, score double")
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, posted: int = POSTED, tried: int = TRIED) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found for each query row, nearest first."""
+    """(query_id, rank, vec_id, score): the ``k`` nearest found for each query row, nearest first.
+
+    A query that finds fewer than ``k`` rows in the files of its first pivots visits all
+    files in a second round, so it gets ``k`` rows, or all there are.
+    """
     vectors = stage(usable(rows), "vectors")
     pivots = choose_pivots(vectors)
     if not len(pivots):
@@ -104,17 +122,15 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, posted: int = POSTED
     ordered = stage(vectors.where(F.size("v") == pivots.shape[1]).withColumn("order", order).select("vec_id", "v", "order.*"), "orders")
     asked = ordered.where(is_query).withColumnRenamed("vec_id", "query_id")
     visits = lambda df: df.withColumn("pivot", F.explode("first"))
-    sizes = visits(ordered).groupBy("pivot").agg(F.ceil(F.count("*") / ROWS).alias("row_blocks"))
-    sizes = stage(sizes.join(visits(asked).groupBy("pivot").agg(F.ceil(F.count("*") / QUERIES).alias("query_blocks")), "pivot"), "sizes")
-    cell = lambda r, q: F.concat_ws(":", "pivot", r, q).alias("cell")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("other")
-    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).alias("own")
-    left = visits(ordered).join(F.broadcast(sizes), "pivot").select("vec_id", "v", "places", "pivot", own("vec_id", "row_blocks"), every("query_blocks"))
-    right = visits(asked).join(F.broadcast(sizes), "pivot").select("query_id", "v", "places", "pivot", own("query_id", "query_blocks"), every("row_blocks"))
-    left = left.select("vec_id", "v", "places", cell("own", "other"))
-    right = right.select("query_id", F.col("v").alias("qv"), F.col("places").alias("qplaces"), cell("other", "own"))
-    found = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInPandas(_search_cell(k, tried), "query_id long, vec_id long, score double")
-    best = found.distinct().groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("best"))
+    found = stage(_visited(visits(ordered), visits(asked), k, tried).distinct(), "found")
+    enough = min(k, ordered.count() - 1)
+    few = asked.join(found.groupBy("query_id").count().where(F.col("count") >= enough), "query_id", "left_anti")
+    if enough and not few.isEmpty():
+        # each row is in the file of its nearest pivot once, and every file is visited
+        once = ordered.withColumn("pivot", F.element_at("first", 1))
+        everywhere = few.select("query_id", "v", "places", F.explode(F.sequence(F.lit(0), F.lit(len(pivots) - 1))).alias("pivot"))
+        found = found.unionByName(_visited(once, everywhere, k, tried)).distinct()
+    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("best"))
     return best.select("query_id", F.posexplode("best").alias("at", "b")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "b.vec_id", (-F.col("b.far")).alias("score"))
 
 
