@@ -44,7 +44,7 @@ _CLUSTER = re.compile(r"[0-9][\x20().0-9-]*")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^\s]*[0-9][^\s]*")
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")  # begins at words only, so a long word without digit is read once
 _EDGE = " \t\n\r.,;:!?()[]{}<>\"'"
 Span = tuple[int, int]
 
@@ -89,9 +89,17 @@ def base_spans(text: str | None) -> list[list[Span]]:
 
 
 def _contexts(text: str, a: int, b: int) -> list[str]:
-    """Lexical patterns around a span: up to three words before, and the words on both sides."""
-    before = [w.strip(_EDGE) or w for w in text[max(0, a - 120) : a].lower().split()]
-    after = [w.strip(_EDGE) or w for w in text[b : b + 60].lower().split()]
+    """Lexical patterns around a span: up to three words before, and the words on both sides.
+
+    Words come from the 120 characters before and the 60 behind; a word that is not
+    whole within them is left out.
+    """
+    left, right = text[max(0, a - 120) : a].lower().split(), text[b : b + 60].lower().split()
+    if left and a > 120 and not text[a - 120].isspace() and not text[a - 121].isspace():
+        left = left[1:]
+    if right and b + 60 < len(text) and not text[b + 59].isspace() and not text[b + 60].isspace():
+        right = right[:-1]
+    before, after = [w.strip(_EDGE) or w for w in left], [w.strip(_EDGE) or w for w in right]
     plain = lambda w: not any("0" <= c <= "9" for c in w)
     out = []
     if len(before) > 1 and plain(before[-1]) and plain(before[-2]):
