@@ -322,6 +322,12 @@ def whole_job(spark, sf):
     return _job(spark, sf, linkage.find_duplicates(_raw(spark, sf), staged=True)).final
 
 
+@query
+def saved_counts(spark, sf):
+    """The job's tables written out, with the counts that the writes observed."""
+    return jobs.save(_job(spark, sf, _link(spark, sf)), staging_path(spark, "saved"))
+
+
 def _trim_notes(request: str) -> str:
     """A resolver that strips the notes."""
     records = json.loads(request)

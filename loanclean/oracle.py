@@ -423,6 +423,16 @@ _METRICS = _count_rows(
     "(select f.duplicate_of, o.issue_date from csv c left join overlaid o on c.customer_id = o.customer_id left join flags f on c.customer_id = f.id) q",
 )
 
+_FINAL_ROWS = "(select f.duplicate_of, o.issue_date from csv c left join overlaid o on c.customer_id = o.customer_id left join flags f on c.customer_id = f.id) q"
+_SAVED = " union all ".join(
+    [
+        _count_rows("final", {"rows": "count(*)", "flagged": "count(duplicate_of)", "null_issue_date": "count(*) filter (issue_date is null)"}, _FINAL_ROWS),
+        _count_rows("layer2", {"rows": "count(*)", **{f"null_{c}": f"count(*) filter ({c} is null)" for c in ("application_date", "issue_date")}}, "overlaid"),
+        _count_rows("pairs", {"rows": "count(*)"}, "profile_pairs"),
+        _count_rows("pairs", {kind: f"count(*) filter (decision = '{kind}')" for kind in ("auto_dup", "gray")}, "row_pairs"),
+    ]
+)
+
 _FINAL_DATES = "dated as (select c.customer_id, o.application_date, o.issue_date from csv c left join overlaid o on c.customer_id = o.customer_id)"
 _MESSY = f"""truth as (select customer_id, application_date, issue_date from clean),
   messy as (select customer_id, {_messy_date('application_date')} as application_date, {_messy_date('issue_date')} as issue_date from clean),
@@ -570,6 +580,7 @@ ORACLES: dict[str, str] = {
       and month(ag) <> day(ag), false) then 'day_month_swap' else 'other' end as error_class, count(*) as n from errors group by 1""",
     "date_error_sample": _with("layer2", "truth", extra=_ERR) + """select customer_id, application_date_got, application_date_truth, issue_date_got, issue_date_truth,
       ig - ag as gap_got, ti - ta as gap_truth from errors order by md5('1:' || customer_id), customer_id limit 15""",
+    "saved_counts": _with("csv", "overlaid", "flags", "profile_pairs", "row_pairs") + _SAVED,
     "stage_metrics": _with("phones", "ranged", "solved", "csv", "overlaid", "flags") + _METRICS,
     "installment_values": _with("clean") + """select customer_id, round(a * (r * pow(1 + r, n)) / (pow(1 + r, n) - 1), 2) as installment
       from (select customer_id, cast(loan_amnt as double) as a, cast(int_rate as double) / 100 / 12 as r, cast(term_months as double) as n from clean) t""",

@@ -17,6 +17,7 @@ from loanclean.operators.dating import date_rule_check, overlay_dates, resolve_d
 from loanclean.operators.escalation import Asking, Resolver, append_done, escalate, judge_pairs, recheck_queue, still_to_do
 from loanclean.operators.linkage import Linkage, duplicate_flags, find_duplicates, pair_payload
 from loanclean.operators.merging import flag_rows, keyed_update, overlay_rows, replace_rows
+from loanclean.sources.staging import stage_counted
 from loanclean.values import ESCALATED_COLUMNS
 
 KEY = "customer_id"
@@ -112,6 +113,24 @@ def clean_loans(
     return Cleaned(final, link, layer2)
 
 
+def save(done: Cleaned, folder: str) -> DataFrame:
+    """Write a job's tables into ``folder`` and return their counts as (stage, metric, value).
+
+    Each table is written once, and its counts are observed by that write.
+    """
+    row_pairs = lambda kind: F.coalesce(F.sum(F.when(F.col("decision") == kind, F.col("n_pairs"))), F.lit(0))
+    tables = {
+        "final": (done.final, {"flagged": F.count_if("is_duplicate"), "null_issue_date": F.count_if(F.col("issue_date").isNull())}),
+        "layer2": (done.layer2, {f"null_{c}": F.count_if(F.col(c).isNull()) for c in quality.DATE_COLUMNS}),
+        "pairs": (done.link.pairs, {kind: row_pairs(kind) for kind in ("auto_dup", "gray")}),
+    }
+    counts = []
+    for name, (df, metrics) in tables.items():
+        _, seen = stage_counted(df, name, {"rows": F.count("*"), **metrics}, f"{folder.rstrip('/')}/{name}")
+        counts += [(name, metric, int(value)) for metric, value in seen.items()]
+    return done.final.sparkSession.createDataFrame(counts, "stage string, metric string, value long")
+
+
 def second_pass(layer2: DataFrame, raw: DataFrame, resolver: Resolver, position: str = "row_pos", asking: Asking = Asking()) -> DataFrame:
     """Send the records that break the gap rule once more, from their raw values, and replace them."""
     broken = date_rule_check(layer2, strict=True)

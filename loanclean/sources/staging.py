@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local: dict[str, str] = {}
@@ -43,3 +43,10 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, name: str, metrics: dict[str, Column], path: str | None = None) -> tuple[DataFrame, dict]:
+    """Stage the table; its metrics are observed while it is written, without a job of their own."""
+    seen = Observation(name)
+    out = stage(df.observe(seen, *[m.alias(n) for n, m in metrics.items()]), name, path)
+    return out, seen.get

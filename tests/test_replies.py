@@ -183,3 +183,13 @@ def test_an_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     with pytest.raises(Exception, match="several rows"):
         keyed_table.upsert(spark, path, new.unionByName(new), buckets=16)
     assert files(path) == after and keyed_table.upsert(spark, path, new.limit(0), buckets=16) == 0
+
+
+def test_saved_tables_are_counted_by_their_writes(spark, tmp_path, monkeypatch):
+    raw = loans(spark).unionByName(loans(spark).withColumn("customer_id", F.concat("customer_id", F.lit("x"))).withColumn("row_pos", F.col("row_pos") + 10))
+    done = jobs.clean_loans(raw)
+    counts = {(r.stage, r.metric): r.value for r in jobs.save(done, str(tmp_path / "out")).collect()}
+    assert counts["final", "rows"] == counts["layer2", "rows"] == counts["final", "null_issue_date"] == 6 and counts["pairs", "rows"] == 0
+    assert spark.read.parquet(str(tmp_path / "out" / "final")).count() == 6
+    with pytest.raises(Exception, match="exists"):
+        jobs.save(done, str(tmp_path / "out"))
