@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 # The functions travel to the executors by value, so the package need not be
 # installed there.
@@ -202,20 +202,44 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
 
 # A text's characters as a set of bits: each (character, how often it came before) sets
 # one of 128. What the other text's set lacks, the texts cannot share.
-_SIGNATURE_BITS = 128
-
-
-def signature(text: Column) -> Column:
+_SIGNATURE = StructType([StructField("size", IntegerType()), *[StructField(c, LongType()) for c in ("low", "high", "head")]])
+
+
+def _signature_block(texts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Rows (low, high, head) of texts of similar length."""
+    width = max(4, int(sizes.max()))
+    codes = _codes(texts, width)
+    head = (codes[:, :4].astype(np.int64) & 0x7FFF) << np.array([45, 30, 15, 0])
+    place = np.arange(width)
+    codes = np.sort(np.where(place < sizes[:, None], codes, np.uint32(0xFFFFFFFF)), axis=1)
+    opens = np.where(np.diff(codes, axis=1, prepend=codes[:, :1] + 1) != 0, place, 0)
+    before = (place - np.maximum.accumulate(opens, axis=1)).astype(np.uint64)
+    mixed = (codes * np.uint64(0x9E3779B97F4A7C15) + before * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)
+    bit = mixed >> np.uint64(57)
+    one = np.where(place < sizes[:, None], np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
+    halves = [np.bitwise_or.reduce(np.where(bit >> np.uint64(6) == h, one, np.uint64(0)), axis=1).view(np.int64) for h in (0, 1)]
+    return np.stack([*halves, head.sum(axis=1)], axis=1)
+
+
+@F.pandas_udf(_SIGNATURE)
+def signature(text: pd.Series) -> pd.DataFrame:
     """struct(size, low, high, head): length, bit set of the characters, and the first four packed into a long."""
-    chars = F.array_sort(characters(text))
-    places = F.transform(chars, lambda c, i: F.pmod(F.xxhash64(c, i - F.array_position(chars, c)), F.lit(_SIGNATURE_BITS)))
-    word = lambda first: F.aggregate(
-        places, F.lit(0).cast("bigint"), lambda acc, p: F.when((p >= first) & (p < first + 64), acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (p - first).cast("int")))).otherwise(acc)
-    )
-    letter = lambda i: F.pmod(F.ascii(F.substring(text, i + 1, 1)), F.lit(1 << 15)).cast("bigint") * (1 << (45 - 15 * i))
-    head = letter(0) + letter(1) + letter(2) + letter(3)
-    made = F.struct(F.length(text).alias("size"), word(0).alias("low"), word(64).alias("high"), head.alias("head"))
-    return F.when(F.length(text) > 0, made)
+    live = np.flatnonzero(text.notna().to_numpy())
+    texts = text.to_numpy(dtype=object)[live]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    order, out, start = np.argsort(sizes, kind="stable"), np.zeros((len(texts), 3), np.int64), 0
+    while start < len(order):
+        # a block holds texts of similar length and a bounded number of cells
+        shortest = int(sizes[order[start]])
+        similar = int(np.searchsorted(sizes[order], shortest + shortest // 4 + 2, side="right"))
+        pick = order[start : min(similar, start + max(1, _CELLS // (shortest + shortest // 4 + 4)))]
+        out[pick] = _signature_block(texts[pick], sizes[pick])
+        start += len(pick)
+    frame = pd.DataFrame({"size": pd.array([None] * len(text), "Int32"), **{c: pd.array([None] * len(text), "Int64") for c in ("low", "high", "head")}})
+    frame.iloc[live, 0] = sizes
+    for i in range(3):
+        frame.iloc[live, i + 1] = out[:, i]
+    return frame
 
 
 def jaro_winkler_bound(a: Column, b: Column) -> Column:

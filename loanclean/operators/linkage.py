@@ -107,40 +107,34 @@ def tile_size(prof: DataFrame) -> int:
     return isqrt(int(min(max(pairs / tasks, CELL_PAIRS[0]), CELL_PAIRS[1])))
 
 
-def large_blocks(prof: DataFrame, tile_profiles: int) -> DataFrame:
-    """Blocks with too many distinct profiles for one cell, and their number of tiles."""
-    return (
-        prof.groupBy(*BLOCK)
-        .agg(F.count("*").alias("_size"))
-        .where(F.col("_size") > tile_profiles)
-        .select(*BLOCK, F.ceil(F.col("_size") / tile_profiles).cast("int").alias("_tiles"))
-    )
+def shared_blocks(prof: DataFrame, tile_profiles: int) -> DataFrame:
+    """Blocks of several distinct profiles, with the number of tiles that each is cut into."""
+    sizes = prof.groupBy(*BLOCK).agg(F.count("*").alias("_size")).where(F.col("_size") > 1)
+    return sizes.select(*BLOCK, F.ceil(F.col("_size") / tile_profiles).cast("int").alias("_tiles"))
 
 
-def _cells(prof: DataFrame, large: DataFrame) -> DataFrame:
-    """Place every profile in the cells (hi, lo) of its block.
+def _cells(prof: DataFrame, shared: DataFrame) -> DataFrame:
+    """Place every profile that is not alone in its block in the cells (hi, lo) of the block.
 
-    A block that is not large is one cell. A large one has t tiles; a profile
-    of tile i is copied to the t cells that involve tile i, and two profiles
-    meet in the one cell of their two tiles.
+    A small block is one cell. A large one has t tiles; a profile of tile i is copied
+    to the t cells that involve tile i, and two profiles meet in the one cell of their
+    two tiles.
     """
-    tiles = F.coalesce(F.col("_tiles"), F.lit(1))
-    placed = prof.join(large, BLOCK, "left").withColumns(
-        {"tile": F.pmod(F.xxhash64("profile"), tiles).cast("int"), "_other": F.explode(F.sequence(F.lit(0), tiles - 1))}
-    )
-    return placed.withColumns({"hi": F.greatest("tile", "_other"), "lo": F.least("tile", "_other")}).drop("_tiles", "_other")
+    placed = prof.join(shared, BLOCK).withColumn("tile", F.pmod(F.xxhash64("profile"), "_tiles").cast("int"))
+    marked = placed.withColumns({f"{c}_mark": signature(F.col(c)) for c in FUZZY_FIELDS})
+    cells = marked.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
+    return cells.withColumns({"hi": F.greatest("tile", "_other"), "lo": F.least("tile", "_other")}).drop("_tiles", "_other")
 
 
 def _triage(total: Column, low: float, high: float) -> Column:
     return F.when(total >= high, "auto_dup").when(total >= low, "gray").otherwise("auto_not")
 
 
-def _cross_pairs(prof: DataFrame, large: DataFrame, low: float) -> DataFrame:
+def _cross_pairs(prof: DataFrame, shared: DataFrame, low: float) -> DataFrame:
     """Pairs of different profiles of a block with a total score of at least ``low``."""
     # The join shuffles by itself, so that Spark may merge and split its partitions;
     # a cell holds two tiles at most.
-    marks = {f"{c}_mark": signature(F.col(c)) for c in FUZZY_FIELDS}
-    cells = _cells(prof.withColumns(marks), large)
+    cells = _cells(prof, shared)
     a, b = cells.alias("a").hint("merge"), cells.alias("b")
     same_cell = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*BLOCK, "hi", "lo"]]
     meet_here = (F.col("a.tile") != F.col("b.tile")) | (F.col("a.hi") == F.col("a.lo"))
@@ -176,13 +170,13 @@ def _copy_pairs(prof: DataFrame) -> DataFrame:
     )
 
 
-def scored_pairs(prof: DataFrame, large: DataFrame, low: float = PAIR_LOW, high: float = PAIR_HIGH) -> DataFrame:
+def scored_pairs(prof: DataFrame, shared: DataFrame, low: float = PAIR_LOW, high: float = PAIR_HIGH) -> DataFrame:
     """All profile pairs that reach ``low``, with scores, decision and the row pairs they stand for.
 
     ``id_a`` is the later record. Totals are rounded to nine decimals before
     they are compared with the thresholds.
     """
-    both = _cross_pairs(prof, large, low).unionByName(_copy_pairs(prof))
+    both = _cross_pairs(prof, shared, low).unionByName(_copy_pairs(prof))
     total = sum((F.coalesce(F.col(s), F.lit(0.0)) for s in ["email_score", "phone_score", "address_score"]), F.col("name_score"))
     n_a, n_b = F.col("n_a").cast("decimal(19,0)"), F.col("n_b").cast("decimal(19,0)")
     stands_for = F.when(F.col("profile_a") == F.col("profile_b"), _pair_count(F.col("n_a"))).otherwise(n_a * n_b)
@@ -218,7 +212,7 @@ def find_duplicates(
     keep = stage if staged else (lambda table, name: table)
     rows = keep(block_rows(df, key, position), "link-rows")
     prof = keep(profiles(rows), "link-profiles")
-    pairs = keep(scored_pairs(prof, large_blocks(prof, tile_profiles or tile_size(prof)), low, high), "link-pairs")
+    pairs = keep(scored_pairs(prof, shared_blocks(prof, tile_profiles or tile_size(prof)), low, high), "link-pairs")
     return Linkage(rows.select("id", "pos", "profile", *BLOCK), prof, pairs)
 
 

@@ -162,7 +162,7 @@ def test_most_pairs_of_a_block_never_reach_python(spark):
     rows += [(f"D{i}", 1000 + i, rows[i][2].replace("a", "e"), rows[i][3], rows[i][4], rows[i][5] + ".", "1") for i in range(40)]
     prof = linkage.profiles(linkage.block_rows(spark.createDataFrame(rows, COLUMNS)))
     total = 340 * 339 // 2
-    kept = linkage._cross_pairs(prof, linkage.large_blocks(prof, 100), 2.3).count()
+    kept = linkage._cross_pairs(prof, linkage.shared_blocks(prof, 100), 2.3).count()
     assert 40 <= kept < total / 20
     print(f"{1 - kept / total:.1%} of {total} pairs settled by the bound")
     pairs = linkage.find_duplicates(spark.createDataFrame(rows, COLUMNS)).pairs.collect()
@@ -173,7 +173,7 @@ def test_most_pairs_of_a_block_never_reach_python(spark):
 def test_cells_are_of_about_equal_work(spark):
     rows = [(f"C{i}", i, f"N{i} Smith", None, None, None, "1" if i < 600 else str(i % 90)) for i in range(900)]
     prof = linkage.profiles(linkage.block_rows(spark.createDataFrame(rows, COLUMNS)))
-    cells = linkage._cells(prof, linkage.large_blocks(prof, 50))
+    cells = linkage._cells(prof, linkage.shared_blocks(prof, 50))
     work = sorted(r["count"] for r in cells.groupBy("zip_code", "hi", "lo").count().where("zip_code = '1' and hi <> lo").collect())
     assert len(work) == 13 * 12 // 2 and work[-1] <= 1.6 * work[len(work) // 2]
     assert linkage.tile_size(prof) == 200 and linkage.tile_size(prof.limit(0)) == 200
