@@ -249,7 +249,7 @@ def block_report(spark, sf):
 
 @query
 def crowded_pairs(spark, sf):
-    """Scored pairs where one block holds a twelfth of all rows, nearly all of them different people."""
+    """Scored pairs where one block holds a fortieth of all rows, nearly all of them different people."""
     link = linkage.find_duplicates(null_cells(fixture.crowded_loans(spark, sf)), staged=True)
     scores = link.pairs.groupBy("decision", F.round("total_score", 6).alias("total_score"))
     return scores.agg(F.sum("n_pairs").cast("bigint").alias("n_pairs"))

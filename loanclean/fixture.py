@@ -259,7 +259,7 @@ CROWDED = {
 }
 
 
-def crowded_sql(loans: str = "loans", one_in: int = 12) -> str:
+def crowded_sql(loans: str = "loans", one_in: int = 40) -> str:
     """The linkage columns of the loans, of which one in ``one_in`` live in one block."""
     crowd = f"(k % {one_in} = 1)"
     cells = [f"case when {crowd} then {v} else {c} end as {c}" for c, v in CROWDED.items()]
