@@ -6,7 +6,7 @@ from loanclean import fixture
 def test_orders_are_spread_not_the_wide_rows(spark, sf_dir, monkeypatch):
     plans = []
     monkeypatch.setattr(fixture, "_staged", {})
-    monkeypatch.setattr(fixture, "SOURCE_MB", 0.01)
+    monkeypatch.setattr(fixture, "SOURCE_BYTES", 10_000)
     monkeypatch.setattr(fixture, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
     loans = fixture.raw_loans(spark, sf_dir)
     moves = [line for line in plans[0].splitlines() if "Exchange" in line]

@@ -2,10 +2,14 @@
 
 import random
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_expressions import python_jaro_winkler
 
+from loanclean.functions import similarity
 from loanclean.functions.similarity import jaro_winkler_bound, signature
 from loanclean.operators import linkage, quality
 
@@ -179,3 +183,37 @@ def test_cells_are_of_about_equal_work(spark):
     assert linkage.tile_size(prof) == 200 and linkage.tile_size(prof.limit(0)) == 200
     report = {r.size_class: (r.n_blocks, r.n_rows, int(r.n_pairs), r.largest) for r in linkage.block_report(linkage.block_rows(spark.createDataFrame(rows, COLUMNS))).collect()}
     assert report[9] == (1, 603, 603 * 602 // 2, 603) and sum(v[1] for v in report.values()) == 900
+
+
+def texts(n, seed):
+    rng = random.Random(seed)
+    word = lambda most: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789 é日\0") for _ in range(rng.randint(0, most)))
+    a = [word(rng.choice([5, 14, 64, 70])) for _ in range(n)]
+    return a, ["".join(c for c in x if rng.random() < 0.8) + word(3) if rng.random() < 0.7 else word(14) for x in a]
+
+
+def test_both_bounds_are_one_number(spark):
+    a, b = texts(400, 2)
+    b[:3] = [None] * 3
+    rows = spark.createDataFrame(list(zip(range(400), a, b)), "i int, a string, b string")
+    want = [r.bound for r in rows.select("i", jaro_winkler_bound(signature(F.col("a")), signature(F.col("b"))).alias("bound")).orderBy("i").collect()]
+    marks = similarity._marks(pa.chunked_array([pa.array(a + b, pa.string())]))
+    assert similarity._bound(marks, np.arange(400), 400 + np.arange(400)).tolist() == pytest.approx(want)
+
+
+def test_words_of_64_bits_score_as_the_plain_block():
+    a, b = texts(1500, 3)
+    got = similarity.jaro_winkler_array(pd.Series(a), pd.Series(b))
+    assert got.tolist() == pytest.approx([python_jaro_winkler(x, y) for x, y in zip(a, b)])
+
+
+def test_cells_that_go_on_over_batches():
+    """Equal pairs whatever the batches, in pieces of a few pairs."""
+    score = lambda low: similarity.make_cell_scorer({"name": "s"}, "phone", "p", ["z", "hi", "lo"], ["pos"], low)
+    rows = pa.table({"z": ["1"] * 30 + ["2"] * 3, "hi": [1] * 33, "lo": [0] * 30 + [1] * 3, "tile": [i % 2 for i in range(33)], "pos": list(range(33)),
+                     "phone": [None] * 33, "name": [f"ann{i % 4}" for i in range(33)]})
+    want = {(i, j) for i in range(30) for j in range(i) if (i - j) % 2} | {(31, 30), (32, 30), (32, 31)}
+    for size in (1, 7, 33):
+        out = pa.Table.from_batches(list(score(0.0)(iter(rows.combine_chunks().to_batches(size)))))
+        got = list(zip(out["pos_a"].to_pylist(), out["pos_b"].to_pylist()))
+        assert len(got) == len(set(got)) and set(got) == want
