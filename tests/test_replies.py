@@ -130,6 +130,22 @@ def test_a_stopped_job_goes_on_where_it_stopped(spark, tmp_path):
     assert again.count() == 100 and len(calls(asked)) == 20
 
 
+def test_slices_grow_with_the_round_unless_given(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(escalation, "SLICE", 2)
+    monkeypatch.setattr(escalation, "MOST_SLICES", 3)
+
+    def slices(name, n, **asking):
+        log = str(tmp_path / name)
+        out = escalation.escalate(records(spark, n), lambda r: answer(json.loads(r)), "row_pos", size=1, asking=Asking(log, concurrency=2, **asking))
+        assert sorted(r.customer_id for r in out.collect()) == sorted(f"C{i}" for i in range(n))
+        return [r["count"] for r in read_log(spark, f"{log}/records").groupBy("part").count().collect()]
+
+    many, few, given = slices("many", 30), slices("few", 4), slices("given", 12, slice=2)
+    assert len(many) <= 3 and max(many) <= 20
+    assert len(few) <= 2
+    assert len(given) >= 6 and max(given) <= 2
+
+
 def test_halves_cover_their_batch(spark):
     items = [{"customer_id": f"c{i}", "t": 'a "quoted", [x]'} for i in range(5)]
     batches = spark.createDataFrame([(3, 5, json.dumps(items)), (4, 1, json.dumps(items[:1]))], "batch_id long, n long, request string")
