@@ -217,3 +217,24 @@ def test_cells_that_go_on_over_batches():
         out = pa.Table.from_batches(list(score(0.0)(iter(rows.combine_chunks().to_batches(size)))))
         got = list(zip(out["pos_a"].to_pylist(), out["pos_b"].to_pylist()))
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_texts_of_a_cell_are_scored_once(monkeypatch):
+    """Pairs of repeated texts, with nulls, empty and long ones, as in a pass over all pairs."""
+    scored, scores = [], similarity._scores
+    monkeypatch.setattr(similarity, "_scores", lambda texts, sizes, ia, ib: scored.append(len(ia)) or scores(texts, sizes, ia, ib))
+    monkeypatch.setattr(similarity, "_PAIRS", 500)
+    values = [None, "", "anna", "anne", "hanna", "bob " * 20, "bob  " * 18, "Ж" * 3]
+    n, rng = 200, random.Random(5)
+    name, mail = ([rng.choice(values) for _ in range(n)] for _ in range(2))
+    rows = pa.table({"z": ["1"] * n, "hi": [0] * n, "lo": [0] * n, "tile": [0] * n, "pos": list(range(n)), "phone": [None] * n, "name": pa.array(name, pa.string()), "mail": pa.array(mail, pa.string())})
+    for low in (0.0, 1.5):
+        scored.clear()
+        out = pa.Table.from_batches(list(similarity.make_cell_scorer({"name": "s", "mail": "t"}, "phone", "p", ["z", "hi", "lo"], ["pos"], low)(iter(rows.to_batches()))))
+        got = {(a, b): (s, t) for a, b, s, t in zip(*(out[c].to_pylist() for c in ("pos_a", "pos_b", "s", "t")))}
+        jw = lambda x, y: python_jaro_winkler(x, y) if x and y else 0.0
+        want = {(i, j): (jw(name[i], name[j]), jw(mail[i], mail[j])) for i in range(n) for j in range(i)}
+        want = {k: v for k, v in want.items() if sum(v) >= low}
+        assert got.keys() == want.keys() and len(got) == out.num_rows
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+        assert sum(scored) <= 2 * len(values) ** 2
