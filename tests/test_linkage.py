@@ -238,3 +238,77 @@ def test_texts_of_a_cell_are_scored_once(monkeypatch):
         assert got.keys() == want.keys() and len(got) == out.num_rows
         assert all(got[k] == pytest.approx(want[k]) for k in want)
         assert sum(scored) <= 2 * len(values) ** 2
+
+
+@pytest.mark.parametrize("few, tile", [(8, None), (1, 30), (2, 12)])
+def test_results_without_a_list_of_all_pairs(spark, monkeypatch, few, tile):
+    """Counts, flags and lookups of one crowded block list no pairs and equal those from the list."""
+    monkeypatch.setattr(linkage, "FEW_ROWS", few)
+    rows = make_rows(220, 17 + few, hot=0.8, copies=0.4)
+    rows += [(f"K{i}", 5000 + i, "Anna Smith", f"anna.smith{i % 9}@x.org", str(i), f"{i % 13} Oak St", "00000") for i in range(120)]
+    found = linkage.find_duplicates(spark.createDataFrame(rows, COLUMNS), tile_profiles=tile, staged=True)
+    listed = linkage.Linkage(found.rows, found.profiles, found.pairs)
+
+    def fail():
+        raise AssertionError("all pairs were listed")
+
+    link = linkage.Linkage(found.rows, found.profiles, fail, found.search)
+    table = lambda df: sorted(map(tuple, df.collect()), key=str)
+    confirmed = listed.pairs.where("decision = 'gray' and address_score = 1").select("id_a", "id_b")
+    assert confirmed.count() and listed.pairs.where("n_a > 2 and profile_a <> profile_b").count()
+    truth = spark.createDataFrame([(f"K{i}", f"K{i - 13}") for i in range(13, 120)] + [(f"C{i}", "C0") for i in range(1, 200)], "duplicate_id string, original_id string")
+    for of in (
+        linkage.triage_counts,
+        linkage.duplicate_flags,
+        lambda x: linkage.duplicate_flags(x, confirmed),
+        lambda x: linkage.judged_pairs(x, confirmed).select(listed.pairs.columns),
+        lambda x: linkage.agreeing_pairs(x, "street_address").where("address_score = 1"),
+        lambda x: linkage.flags_from_pairs(linkage.last_pairs(x), "pos_b"),
+        lambda x: quality.duplicate_quality(x, truth),
+        lambda x: quality.duplicate_quality(x, truth, confirmed),
+    ):
+        want = table(of(listed))
+        assert table(of(link)) == want and want
+
+
+def similar_people(n):
+    """One block of people of like names, mails and streets, nearly all of whose pairs count."""
+    return pa.table({
+        "z": ["1"] * n, "hi": [0] * n, "lo": [0] * n, "tile": [0] * n, "pos": list(range(n)), "n": [1] * n, "id": [f"C{i}" for i in range(n)], "profile": [f"P{i}" for i in range(n)],
+        "phone": [None] * n, "name": ["Linda Smith"] * n, "street": [f"{i * 31 % 97} {['Oak St', 'Maple St', 'Virginia Road'][i % 3]}" for i in range(n)], "mail": [f"linda.smith{i % 50}@x.org" for i in range(n)],
+    })
+
+
+def test_a_row_looks_back_until_it_finds_a_partner(monkeypatch):
+    """The scored pairs grow with the rows, not with their square."""
+    scored, plain = [], similarity._Rows.scored
+    monkeypatch.setattr(similarity._Rows, "scored", lambda self, a, b, low: scored.append(len(a)) or plain(self, a, b, low))
+    find = similarity.make_partner_finder(["name", "street", "mail"], "phone", ["z", "hi", "lo"], 2.6)
+    out = pa.Table.from_batches(list(find(iter(similar_people(2000).combine_chunks().to_batches()))))
+    assert out.num_rows > 1900 and sum(scored) < 40 * 2000
+    pairs = pa.Table.from_batches(list(similarity.make_cell_scorer({"name": "s", "street": "t", "mail": "u"}, "phone", "p", ["z", "hi", "lo"], ["id", "pos"], 2.6)(iter(similar_people(300).to_batches()))))
+    last = {}
+    for a, b in sorted(zip(pairs["pos_a"].to_pylist(), pairs["pos_b"].to_pylist())):
+        last[f"C{a}"] = b
+    assert {a: b for a, b in zip(out["id_a"].to_pylist(), out["pos_b"].to_pylist()) if int(a[1:]) < 300} == last
+
+
+def test_counted_pairs_are_not_returned():
+    """Tasks return sums; large counts do not overflow."""
+    rows = similar_people(300)
+    count = similarity.make_pair_counter(["name", "street", "mail"], "phone", ["z", "hi", "lo"], {"gray": 2.3, "auto_dup": 2.6})
+    score = similarity.make_cell_scorer({"name": "s", "street": "t", "mail": "u"}, "phone", "p", ["z", "hi", "lo"], ["pos"], 2.3)
+    totals = [round(sum(x), 9) for x in zip(*(pa.Table.from_batches(list(score(iter(rows.to_batches()))))[c].to_pylist() for c in "ptus"))]
+    want = {"gray": sum(2.3 <= t < 2.6 for t in totals), "auto_dup": sum(t >= 2.6 for t in totals)}
+    for times in (1, 1 << 40):
+        out = pa.Table.from_batches(list(count(iter(rows.set_column(rows.schema.get_field_index("n"), "n", pa.array([times] * 300)).to_batches()))))
+        assert out.num_rows == 2 and dict(zip(out["decision"].to_pylist(), map(int, out["n_pairs"].to_pylist()))) == {k: v * times * times for k, v in want.items()}
+
+
+def test_a_text_that_many_share_fills_no_tile(spark):
+    rows = [(f"C{i}", i, f"N{i} Smith", None, None, None if i % 3 else f"{i % 30} Oak St", "1") for i in range(900)]
+    prof = linkage.profiles(linkage.block_rows(spark.createDataFrame(rows, COLUMNS)))
+    search, shared = linkage.Search(2.3, 2.6, 50, lambda df, name: df), linkage.shared_blocks(prof, 50)
+    tiles = linkage._cells(linkage._tiles_by(prof, shared, search, "street_address"), shared, place="_place").where("hi = lo")
+    sizes = [r["count"] for r in tiles.groupBy("hi").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) <= 300
