@@ -312,3 +312,45 @@ def test_a_text_that_many_share_fills_no_tile(spark):
     tiles = linkage._cells(linkage._tiles_by(prof, shared, search, "street_address"), shared, place="_place").where("hi = lo")
     sizes = [r["count"] for r in tiles.groupBy("hi").count().collect()]
     assert sum(sizes) == 900 and max(sizes) <= 300
+
+
+@pytest.mark.parametrize("low, high, tile", [(2.3, 2.6, None), (2.3, 2.6, 9), (2.0, 3.5, 12)])
+def test_payload_without_a_list_of_pairs(spark, monkeypatch, low, high, tile):
+    """Gray pairs leave their cells with their records, in small batches, and equal those of the list."""
+    monkeypatch.setattr(similarity, "_BYTES", 2000)
+    rows = make_rows(200, 23, hot=0.8, copies=0.4)
+    rows += [(f"K{i}", 5000 + i, "Anna Smith", f"anna.smith{i % 9}@x.org", str(i), f"{i % 13} Oak St", "00000") for i in range(90)]
+    rows += [(rows[i][0], 9000 + i, *rows[i - 1][2:]) for i in range(5, 40, 7)]  # ids that come again
+    rows += [(None, 9900, *rows[-1][2:])]
+    df = spark.createDataFrame(rows, COLUMNS)
+    found = linkage.find_duplicates(df, low=low, high=high, tile_profiles=tile, staged=True)
+    gray = found.pairs.where("decision = 'gray'")
+
+    def fail():
+        raise AssertionError("all pairs were listed")
+
+    link = linkage.Linkage(found.rows, found.profiles, fail, found.search)
+    table = lambda payload: sorted(map(str, payload.select("id_a", "id_b", "record_a", "record_b").collect()))
+    want = table(linkage.pair_payload(gray, df))
+    assert table(linkage.pair_payload(link, df)) == want and len(want) > 100
+    assert table(linkage.pair_payload(linkage.Linkage(found.rows, found.profiles, found.pairs), df)) == want
+    if high > 3:
+        assert gray.where("profile_a = profile_b").count()
+    texts = lambda record: F.to_json(record, {"ignoreNullFields": "false"})
+    payload = linkage.pair_payload(gray, df)
+    assert table(linkage.pair_payload(link, df, form=texts)) == table(payload.withColumns({c: texts(F.col(c)) for c in ("record_a", "record_b")}))
+
+
+def test_pairs_of_a_cell_leave_in_batches_of_bounded_size(monkeypatch):
+    """Long texts make batches of few pairs; pairs that reach ``high`` are not returned."""
+    monkeypatch.setattr(similarity, "_BYTES", 50_000)
+    rows = similar_people(200)
+    rows = rows.append_column("record", pa.array([{"text": "x" * 1000, "note": None}] * 200))
+    names = {"name": "s", "street": "t", "mail": "u"}
+    score = lambda **more: list(similarity.make_cell_scorer(names, "phone", "p", ["z", "hi", "lo"], ["pos", "record"], 2.3, **more)(iter(rows.to_batches())))
+    total = lambda out: [round(sum(x), 9) for x in zip(*(out[c].to_pylist() for c in "pstu"))]
+    out, all_pairs = score(high=2.6), pa.Table.from_batches(score())
+    assert max(b.num_rows for b in out) <= 25 and {r["text"] for b in out for r in b["record_b"].to_pylist()} == {"x" * 1000}
+    want = [x for x in zip(all_pairs["pos_a"].to_pylist(), all_pairs["pos_b"].to_pylist(), total(all_pairs)) if x[2] < 2.6]
+    got = pa.Table.from_batches(out)
+    assert list(zip(got["pos_a"].to_pylist(), got["pos_b"].to_pylist(), total(got))) == want and 0 < len(want) < all_pairs.num_rows
