@@ -8,20 +8,22 @@ context: the bytes that they cover.
 
 1. A copy of a whole text with a smaller doc_id goes as a whole and takes no further part.
 2. Grams that are an anchor once in the whole corpus can't repeat. Anchor grams are
-   counted (summed per batch first); a bitmap of fixed size over those that occur again
-   drops most other anchors before anything else moves. It drops no repeat.
-3. The contexts of a gram form one part of an enhanced suffix array: sorted by the bytes
+   counted by 40 bits of their hash (summed per batch first, sorted and packed); a bitmap over
+   those that occur again, two bits each, drops most other anchors before anything else moves. It
+   drops no repeat, and its size grows with their number up to ``MOST_BITS``.
+3. A context that a smaller document of the same batch has is a span at once. The others
+   travel packed, a row for each part of a batch, with their places.
+4. The contexts of a gram form one part of an enhanced suffix array: sorted by the bytes
    from the anchor on, with the common prefix lengths of neighbours. A stack scan gives
    the interval tree. Within an interval the contexts are grouped by the bytes to the
    left; a group goes on leftwards as one while its left characters agree and is output
    when they differ, or at the interval's limit: a maximal repeat with all occurrences.
-   Each context learns the least doc_id of each of its windows. Equal contexts are one
-   row of a batch, so a part holds a context once per batch at most.
-4. A gram with more than ``CROWD`` different contexts (the edges of a very common line)
-   would be one task: its windows are grouped one by one, merged before the shuffle.
-5. Windows with a smaller doc_id make the removed spans of a document.
+   Each context learns the least doc_id of each of its windows.
+5. A gram with more than ``CROWD`` different contexts (the edges of a very common line)
+   would be one task: its windows are compared one by one, by a 128-bit hash, dealt by it.
+6. Windows with a smaller doc_id make the removed spans of a document.
 
-Bitmaps only spare work: where one lets a row pass in vain, an exact join follows.
+Bitmaps only spare work: a row that one lets pass in vain meets no equal.
 
 Strings are judged on the input. Null texts are empty. Rows without doc_id take no part
 and stay whole; rows of one doc_id are not smaller than each other.
@@ -45,7 +47,8 @@ from loanclean.llm.base import bitmap, documents, in_bitmap, shards, stage
 LENGTH = 50
 GRAM = 20
 CROWD = 4096
-BITMAP_BITS = 1 << 26
+KEY_BITS = 40
+BITMAP_BITS, MOST_BITS = 1 << 26, 1 << 30
 DOC_BITS = 1 << 24
 _SLICE = 1 << 18  # bytes at a time: arrays of a slice stay in the cache
 _HELD = 32 << 20  # bytes of contexts, or 16 times the anchors, held before they are passed on
@@ -119,19 +122,67 @@ def _taking_part(batch: pa.RecordBatch, copies: np.ndarray) -> list[int]:
     return np.flatnonzero(sure | ~in_bitmap(copies, doc)).tolist()
 
 
-def _gram_counts(texts: DataFrame, copies: np.ndarray) -> DataFrame:
-    """(gram, n, contexts): occurrences as anchor, 2 standing for more in a batch, and different contexts, summed over batches."""
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then their second bytes, and so on: small numbers pack well."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, at: int, n: int, kind: type) -> tuple[np.ndarray, int]:
+    """``n`` values of a packed array and the place behind them."""
+    end = at + n * np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, end - at, at).reshape(-1, n).T).view(kind).ravel(), end
+
+
+def _squeezed(raw: bytes) -> bytes:
+    return pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _opened(blob: bytes, size: int) -> bytes:
+    return pa.Codec("zstd").decompress(blob, decompressed_size=size, asbytes=True)
+
+
+def _keys(gram: np.ndarray) -> np.ndarray:
+    """40 bits of each gram hash: grams are counted and filtered by them."""
+    return (gram.view(np.uint64) * np.uint64(_MUL) >> np.uint64(64 - KEY_BITS)).view(np.int64)
+
+
+def _second(key: np.ndarray) -> np.ndarray:
+    """Another number of each key, for a second bit of a bitmap."""
+    return (key.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(8)).view(np.int64)
+
+
+def filter_bits(grams: int) -> int:
+    """Bits of the bitmap over the repeated grams: 8 to 16 a gram within BITMAP_BITS and MOST_BITS, a power of two."""
+    return max(BITMAP_BITS, min(MOST_BITS, 1 << (8 * max(1, grams) - 1).bit_length()))
+
+
+def _gram_counts(texts: DataFrame, copies: np.ndarray, parts: int) -> DataFrame:
+    """(gram, other, n, contexts) of the keys of grams that are an anchor more than once.
+
+    ``n`` are the places, ``contexts`` the different contexts of a batch, summed over the batches;
+    ``other`` is the key's second number. Sorted keys of one range of the keys travel as one packed row.
+    """
 
     def summed(got: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         gram, mark = (np.concatenate(x) for x in zip(*got))
-        order = np.lexsort((mark, gram))
-        gram, mark = gram[order], mark[order]
-        new = np.concatenate([[True], gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, bool)
+        key = _keys(gram)
+        order = np.lexsort((mark, key))
+        key, mark = key[order], mark[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
         first = np.flatnonzero(new)
-        n = np.diff(np.append(first, len(gram)))
-        other = np.cumsum(new | np.concatenate([[True], mark[1:] != mark[:-1]])) if len(gram) else np.zeros(0, np.int64)
-        contexts = other[first + n - 1] - other[first] + 1
-        return pa.RecordBatch.from_arrays([pa.array(gram[first], pa.int64()), pa.array(np.minimum(n, 2), pa.int32()), pa.array(contexts, pa.int32())], names=["gram", "n", "contexts"])
+        n = np.diff(np.append(first, len(key)))
+        other = np.cumsum(new | np.concatenate([[True], mark[1:] != mark[:-1]])) if len(key) else np.zeros(0, np.int64)
+        contexts = (other[first + n - 1] - other[first] + 1).astype(np.uint32)
+        key, n = key[first], n.astype(np.uint32)
+        ends = np.searchsorted(key, (np.arange(1, parts + 1) << KEY_BITS) // parts).tolist()
+        rows, begin = [], 0
+        for part, end in enumerate(ends):
+            if end > begin:
+                here = slice(begin, end)
+                steps = np.diff(key[here], prepend=0)
+                rows.append((part, end - begin, _squeezed(_planes(steps) + _planes(n[here]) + _planes(contexts[here]))))
+            begin = end
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ((), (), ()), (pa.int32(), pa.int32(), pa.binary()))], names=["part", "size", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, held = [], 0  # summed over batches, up to a number of anchors
@@ -146,53 +197,163 @@ def _gram_counts(texts: DataFrame, copies: np.ndarray) -> DataFrame:
         if got:
             yield summed(got)
 
-    counted = texts.mapInArrow(run, "gram long, n int, contexts int")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("contexts").alias("contexts"))
+    def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = []
+        for size, blob in zip(pdf["size"].tolist(), pdf["blob"]):
+            raw = _opened(blob, size * 16)
+            steps, at = _from_planes(raw, 0, size, np.int64)
+            n, at = _from_planes(raw, at, size, np.uint32)
+            got.append((np.cumsum(steps), n.astype(np.int64), _from_planes(raw, at, size, np.uint32)[0].astype(np.int64)))
+        key, n, contexts = (np.concatenate(x) for x in zip(*got))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        n, contexts = (np.add.reduceat(x[order], first) for x in (n, contexts))
+        more = np.flatnonzero(n > 1)
+        key = key[first[more]]
+        return pd.DataFrame({"gram": key, "other": _second(key), "n": n[more], "contexts": contexts[more]})
+
+    counted = texts.mapInArrow(run, "part int, size int, blob binary")
+    return counted.groupBy("part").applyInPandas(repeated, "gram long, other long, n long, contexts long")
+
+
+_CONTEXTS = "part int, leads int, places int, size int, blob binary, doc_id long, digest long, a long, b long"
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the row before it."""
+    if not len(columns[0]):
+        return np.zeros(0, bool)
+    return np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in columns])])
 
 
-def _contexts(texts: DataFrame, copies: np.ndarray, again: np.ndarray, crowds: np.ndarray) -> DataFrame:
-    """doc_id, digest, start, gram and hash of the contexts whose anchor's bit is set in ``again``.
+def _windows(context: list[bytes], places: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """The two halves of a 128-bit hash of every window of the contexts, and (doc_id, digest, start) of each."""
+    n = np.fromiter(map(len, context), np.int64, len(context)) - LENGTH + 1
+    code = b"".join(xxhash.xxh3_128_digest(c[j : j + LENGTH]) for c in context for j in range(len(c) - LENGTH + 1))
+    high, low = np.frombuffer(code, np.int64).reshape(-1, 2).T.copy()
+    doc, digest, start = (np.repeat(x, n) for x in places)
+    return high, low, doc, digest, start + np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
 
-    The first of equal ones in a batch also has the anchor's offset, the context, the
-    least and largest doc_id of its equals in the batch, and crowd: its bit in ``crowds``.
+
+def _contexts(texts: DataFrame, copies: np.ndarray, again: np.ndarray, crowds: np.ndarray, parts: int) -> DataFrame:
+    """The contexts whose anchor's bits are set in ``again``, and spans that are known from a batch alone.
+
+    A place whose context a smaller doc_id of its batch has is a span (doc_id, digest, a, b) at
+    once. The others are packed, a row for each part of a batch: the different contexts (``leads``) and
+    their ``places``, see ``_opened_part``. Grams whose bit is set in ``crowds`` are packed
+    window by window, in as many parts more, dealt by the windows, see ``_spans_of_windows``.
     """
+    schema = pa.schema([(f.split()[0], {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[f.split()[1]]) for f in _CONTEXTS.split(", ")])
+
+    def ranges(part: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        cuts = np.flatnonzero(_new(part))
+        return zip(part[cuts].tolist(), cuts.tolist(), [*cuts.tolist()[1:], len(part)])
 
-    def packed(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
-        row, start, gram, at = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        context = [c for p in parts for c in p[4]]
+    def packed(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        row, start, gram, at = (np.concatenate([p[k] for p in found]) for k in range(4))
+        context = [c for p in found for c in p[4]]
+        size = np.fromiter(map(len, context), np.int64, len(context))
         code = np.fromiter(map(xxhash.xxh3_64_intdigest, context), np.uint64, len(context)).view(np.int64)
-        doc = batch.column(0).to_numpy(zero_copy_only=False)[row]
-        order = np.lexsort((doc, code, gram))
-        g, c = gram[order], code[order]
-        first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])) if len(g) else np.zeros(0, np.int64)
-        last = np.append(first[1:], len(g)) - 1
-        low, high, lead = np.zeros(len(g), np.int64), np.zeros(len(g), np.int64), np.zeros(len(g), bool)
-        lead[order[first]], low[order[first]], high[order[first]] = True, doc[order[first]], doc[order[last]]
-        off = ~lead
-        columns = [
-            pa.array(doc, pa.int64()), batch.column(1).take(pa.array(row)), pa.array(start, pa.int64()), pa.array(gram, pa.int64()), pa.array(code, pa.int64()),
-            pa.array(at, pa.int32(), mask=off), pa.array([x if k else None for x, k in zip(context, lead.tolist())], pa.binary()),
-            pa.array(low, mask=off), pa.array(high, mask=off), pa.array(in_bitmap(crowds, gram), mask=off),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "start", "gram", "hash", "at", "context", "low", "high", "crowd"])
+        doc, digest = (batch.column(k).to_numpy(zero_copy_only=False)[row] for k in (0, 1))
+        part = np.where(in_bitmap(crowds, _keys(gram)), -1, (gram.view(np.uint64) % np.uint64(parts)).astype(np.int64))
+        order = np.lexsort((doc, code, gram, part))
+        doc, digest, start, gram, at, code, part, size = (x[order] for x in (doc, digest, start, gram, at, code, part, size))
+        first = np.flatnonzero(_new(gram, code))
+        known = doc > np.repeat(doc[first], np.diff(np.append(first, len(doc))))
+        spans = [_merged(doc[known], digest[known], start[known], start[known] + size[known])]
+        order, doc, digest, start, gram, at, code, part, size = (x[~known] for x in (order, doc, digest, start, gram, at, code, part, size))
+        first = np.flatnonzero(_new(gram, code))
+        places = np.diff(np.append(first, len(gram)))
+        out = {name: [] for name in schema.names[:5]}
+
+        def add(*values: int | bytes) -> None:
+            raw = values[-1]
+            for name, value in zip(out, (*values[:-1], len(raw), _squeezed(raw))):
+                out[name].append(value)
+
+        for p, lo, hi in ranges(part):
+            if p < 0:
+                high, low, *where = _windows([context[i] for i in order[lo:hi].tolist()], (doc[lo:hi], digest[lo:hi], start[lo:hi]))
+                of = (high.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+                by = np.lexsort((where[0], low, high, of))
+                high, low, of, where = high[by], low[by], of[by], [x[by] for x in where]
+                begin = np.flatnonzero(_new(high, low))
+                sure = where[0] > np.repeat(where[0][begin], np.diff(np.append(begin, len(of))))
+                spans.append(_merged(*(x[sure] for x in where), where[2][sure] + LENGTH))
+                high, low, of, *where = (x[~sure] for x in (high, low, of, *where))
+                for q, a, b in ranges(of):
+                    add(parts + q, 0, b - a, b"".join([high[a:b].tobytes(), low[a:b].tobytes(), *(_planes(x[a:b]) for x in where)]))
+                continue
+            a, b = np.searchsorted(first, (lo, hi)).tolist()
+            lead = first[a:b]
+            add(p, b - a, hi - lo, b"".join(
+                [size[lead].astype(np.uint8).tobytes(), at[lead].astype(np.uint8).tobytes(), _planes(places[a:b].astype(np.uint32))]
+                + [context[i] for i in order[lead].tolist()] + [_planes(x[lo:hi]) for x in (doc, digest, start)]
+            ))
+        n, rows = len(out["part"]), dict(zip(schema.names[5:], (np.concatenate(x) for x in zip(*spans))))
+        none = len(rows["a"])
+        packs = [pa.concat_arrays([pa.array(out[f.name], f.type), pa.nulls(none, f.type)]) for f in schema if f.name in out]
+        return pa.RecordBatch.from_arrays(packs + [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(x, pa.int64())]) for x in rows.values()], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, held = [], 0
+            found, held = [], 0
             for rows, offsets, pieces in _sliced(batch, _taking_part(batch, copies)):
                 gram, piece, start, at, count, _ = anchors(pieces)
-                keep = np.flatnonzero(in_bitmap(again, gram))
+                key = _keys(gram)
+                keep = np.flatnonzero(in_bitmap(again, key))
+                keep = keep[in_bitmap(again, _second(key[keep]))]
                 piece, start, size = piece[keep], start[keep], count[keep] + LENGTH - 1
-                found = [pieces[p][s : s + n] for p, s, n in zip(piece.tolist(), start.tolist(), size.tolist())]
-                parts.append((np.array(rows, np.int64)[piece], start + np.array(offsets, np.int64)[piece], gram[keep], at[keep], found))
+                texts_ = [pieces[p][s : s + n] for p, s, n in zip(piece.tolist(), start.tolist(), size.tolist())]
+                found.append((np.array(rows, np.int64)[piece], start + np.array(offsets, np.int64)[piece], gram[keep], at[keep], texts_))
                 held += int(size.sum())
                 if held > _HELD:
-                    yield packed(batch, parts)
-                    parts, held = [], 0
-            if parts:
-                yield packed(batch, parts)
-
-    return texts.mapInArrow(run, "doc_id long, digest long, start long, gram long, hash long, at int, context binary, low long, high long, crowd boolean")
+                    yield packed(batch, found)
+                    found, held = [], 0
+            if found:
+                yield packed(batch, found)
+
+    return texts.mapInArrow(run, _CONTEXTS)
+
+
+def _opened_part(pdf: pd.DataFrame) -> tuple[list[bytes], np.ndarray, tuple[np.ndarray, ...]]:
+    """The different contexts of a part's packed rows, their anchors' offsets, and (context's number, doc_id, digest, start) of all places."""
+    known: dict[bytes, int] = {}
+    at, places = [], []
+    for n, m, size, blob in zip(pdf["leads"].tolist(), pdf["places"].tolist(), pdf["size"].tolist(), pdf["blob"]):
+        raw = _opened(blob, size)
+        sizes = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+        offs = np.frombuffer(raw, np.uint8, n, n)
+        times, here = _from_planes(raw, 2 * n, n, np.uint32)
+        ends = here + np.cumsum(sizes)
+        number = np.zeros(n, np.int64)
+        for i, (a, b, o) in enumerate(zip((ends - sizes).tolist(), ends.tolist(), offs.tolist())):
+            number[i] = k = known.setdefault(raw[a:b], len(known))
+            if k == len(at):
+                at.append(o)
+        here = int(ends[-1])
+        columns = [np.repeat(number, times)]
+        for _ in range(3):
+            column, here = _from_planes(raw, here, m, np.int64)
+            columns.append(column)
+        places.append(columns)
+    return list(known), np.array(at, np.int64), tuple(np.concatenate(x) for x in zip(*places))
+
+
+def _merged(doc: np.ndarray, digest: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The spans of each text with those that touch or overlap put together."""
+    if not len(doc):
+        return doc, digest, a, b
+    order = np.lexsort((a, digest, doc))
+    doc, digest, a, b = (x[order] for x in (doc, digest, a, b))
+    text = _new(doc, digest)
+    far = int(b.max()) + 1  # a text's spans lie behind those of the text before it
+    base = (np.cumsum(text) - 1) * far
+    reach = np.maximum.accumulate(b + base)
+    first = np.flatnonzero(text | np.concatenate([[True], (a + base)[1:] > reach[:-1]]))
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], digest[first], a[first], (reach - base)[last]
 
 
 def prefix_intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int, int]]:
@@ -241,13 +402,35 @@ def maximal_groups(members: list[int], lefts: list[bytes], low: int, high: int)
             size += 1
 
 
-def _least_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(gram, hash, first, last, least): runs of windows of each context that a smaller document than its largest has."""
-    pdf = pdf.groupby(["gram", "hash"], as_index=False).agg({"at": "first", "context": "first", "low": "min", "high": "max"})
-    at, context = pdf["at"].tolist(), pdf["context"].tolist()
-    right = [bytes(c[a:]) for c, a in zip(context, at)]
-    lefts = [bytes(c[:a]) for c, a in zip(context, at)]
-    gram, low, high = pdf["gram"].to_numpy(), pdf["low"].tolist(), pdf["high"].tolist()
+def _spans_of_windows(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(doc_id, digest, a, b): the places of a part's windows that a smaller document has."""
+    got = []
+    for m, size, blob in zip(pdf["places"].tolist(), pdf["size"].tolist(), pdf["blob"]):
+        raw = _opened(blob, size)
+        columns, here = [np.frombuffer(raw, np.int64, m), np.frombuffer(raw, np.int64, m, 8 * m)], 16 * m
+        for _ in range(3):
+            column, here = _from_planes(raw, here, m, np.int64)
+            columns.append(column)
+        got.append(columns)
+    high, low, doc, digest, start = (np.concatenate(x) for x in zip(*got))
+    order = np.lexsort((doc, low, high))
+    first = np.flatnonzero(_new(high[order], low[order]))
+    hit = order[doc[order] > np.repeat(doc[order][first], np.diff(np.append(first, len(order))))]
+    return pd.DataFrame(dict(zip(("doc_id", "digest", "a", "b"), _merged(doc[hit], digest[hit], start[hit], start[hit] + LENGTH))))
+
+
+def _spans_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(doc_id, digest, a, b): the runs of windows of each place of a part's contexts that a smaller document has."""
+    context, at, (number, doc, digest, start) = _opened_part(pdf)
+    size = np.fromiter(map(len, context), np.int64, len(context))
+    gram = gram_hashes(np.frombuffer(b"".join(context), np.uint8))[np.cumsum(size) - size + at]
+    limits = np.iinfo(np.int64)
+    low, high = np.full(len(context), limits.max), np.full(len(context), limits.min)
+    np.minimum.at(low, number, doc)
+    np.maximum.at(high, number, doc)
+    low, high, at = low.tolist(), high.tolist(), at.tolist()
+    right = [c[a:] for c, a in zip(context, at)]
+    lefts = [c[:a] for c, a in zip(context, at)]
     least = [[d] * (len(c) - LENGTH + 1) for d, c in zip(low, context)]
     # the enhanced suffix array: order, and common prefixes of neighbours of one gram
     wide = max((len(r) for r in right), default=1)
@@ -287,7 +470,14 @@ def _least_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
                 out.append((m, j, k, values[j]))
             j = k + 1
     m, a, b, d = (np.array(x, np.int64) for x in (zip(*out) if out else ((), (), (), ())))
-    return pd.DataFrame({"gram": gram[m], "hash": pdf["hash"].to_numpy()[m], "first": a, "last": b, "least": d})
+    runs = np.bincount(m, minlength=len(context))
+    times = runs[number]
+    run = np.arange(int(times.sum())) + np.repeat((np.cumsum(runs) - runs)[number] - (np.cumsum(times) - times), times)
+    place = np.repeat(np.arange(len(number)), times)
+    hit = d[run] < doc[place]
+    run, place = run[hit], place[hit]
+    spans = _merged(doc[place], digest[place], start[place] + a[run], start[place] + b[run] + LENGTH)
+    return pd.DataFrame(dict(zip(("doc_id", "digest", "a", "b"), spans)))
 
 
 def _maybe(bits: np.ndarray):
@@ -315,23 +505,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     odd = stage(texts.where(_maybe(marked)).join(copies, ["doc_id", "digest"], "left_anti"), "odd")  # marked, but no copies
     columns = lambda df, sure: df.select("doc_id", "digest", F.lit(sure).alias("sure"), "text")
     reps = columns(texts, False).unionByName(columns(odd, True))
-    again = stage(_gram_counts(reps, marked).where("n > 1").select("gram", "contexts"), "grams")
+    again = stage(_gram_counts(reps, marked, shards(docs, 8)), "grams")
     crowds = bitmap(again.where(F.col("contexts") > CROWD).select("gram"), DOC_BITS)
-    found = stage(_contexts(reps, marked, bitmap(again.select("gram"), BITMAP_BITS), crowds), "contexts")
-
-    lead = found.where("context is not null").select("gram", "hash", "at", "context", "low", "high", "crowd")
-    schema = "gram long, hash long, first long, last long, least long"
-    by_tree = lead.where("not crowd").groupBy(F.pmod("gram", F.lit(shards(docs, 2))).alias("part")).applyInPandas(_least_of_part, schema)
-    windows = lead.where("crowd").select("gram", "hash", "low", "high", "context", F.explode(F.sequence(F.lit(0), F.length("context") - LENGTH)).alias("j"))
-    windows = windows.select("gram", "hash", "low", "high", F.col("j").cast("long").alias("j"), F.expr(f"substring(context, j + 1, {LENGTH})").alias("window"))
-    least = windows.groupBy("window").agg(F.min("low").alias("least"))
-    by_window = windows.join(least, "window").where("least < high").select("gram", "hash", F.col("j").alias("first"), F.col("j").alias("last"), "least").distinct()
-    # one row of a context from now on: it may lead in several batches
-    run = F.struct("first", "last", "least")
-    answers = stage(by_tree.unionByName(by_window).groupBy("gram", "hash").agg(F.collect_set(run).alias("runs")), "answers")
-    hits = found.select("doc_id", "digest", "start", "gram", "hash").join(answers, ["gram", "hash"])
-    hits = hits.select("doc_id", "digest", "start", F.explode("runs").alias("r")).where("r.least < doc_id")
-    spans = hits.select("doc_id", "digest", (F.col("start") + F.col("r.first")).alias("a"), (F.col("start") + F.col("r.last") + LENGTH).alias("b"))
+    both = bitmap(again.select(F.explode(F.array("gram", "other"))), filter_bits(again.count()))
+    parts = shards(docs, 2)
+    found = stage(_contexts(reps, marked, both, crowds, parts), "contexts")
+
+    def of_part(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _spans_of_windows(pdf) if pdf["part"].iloc[0] >= parts else _spans_of_part(pdf)
+
+    by_part = found.where("part is not null").select("part", "leads", "places", "size", "blob").repartition(max(1, parts // 4), "part").groupBy("part")
+    spans = by_part.applyInPandas(of_part, "doc_id long, digest long, a long, b long").unionByName(found.where("part is null").select("doc_id", "digest", "a", "b"))
     whole = copies.where(F.col("size") >= LENGTH).select("doc_id", "digest", F.lit(0).cast("long").alias("a"), F.col("size").cast("long").alias("b"))
     return spans.unionByName(whole).groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
 

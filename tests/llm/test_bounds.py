@@ -2,6 +2,7 @@
 
 import random
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -86,3 +87,20 @@ def test_a_store_that_is_full_gives_the_same_tokens(monkeypatch, limit):
             ends = np.cumsum(counts)
             assert [ids[e - n : e].tolist() for e, n in zip(ends, counts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
         assert limit > 40 or coder.n <= 40 + 1000
+
+
+def test_the_filter_of_repeated_grams_grows_with_their_number(spark, monkeypatch):
+    """Half of each text is its own. A filter that is full would pass on all of it."""
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choices("abcdefghij ", k=n))
+    shared = [text(4000) for _ in range(20)]
+    docs = spark.createDataFrame([(i, text(4000) + shared[i % 20]) for i in range(40)], "doc_id long, text string").repartition(2)
+    shared_dir, moved = Path(spark.conf.get("spark.checkpoint.dir")), []
+    for bits in (1 << 26, 1 << 10):
+        monkeypatch.setattr(repeats, "BITMAP_BITS", bits)
+        before = set(shared_dir.glob("contexts-*"))
+        got = repeats.remove_repeats(docs).collect()
+        assert [r.n_removed >= 4000 for r in sorted(got, key=lambda r: r.doc_id)] == [i >= 20 for i in range(40)]
+        (new,) = set(shared_dir.glob("contexts-*")) - before
+        moved.append(sum(f.stat().st_size for f in new.rglob("*.parquet")))
+    assert moved[1] < 1.3 * moved[0]
