@@ -354,3 +354,43 @@ def test_pairs_of_a_cell_leave_in_batches_of_bounded_size(monkeypatch):
     want = [x for x in zip(all_pairs["pos_a"].to_pylist(), all_pairs["pos_b"].to_pylist(), total(all_pairs)) if x[2] < 2.6]
     got = pa.Table.from_batches(out)
     assert list(zip(got["pos_a"].to_pylist(), got["pos_b"].to_pylist(), total(got))) == want and 0 < len(want) < all_pairs.num_rows
+
+
+@pytest.mark.parametrize("large,tile", [(2, 2000), (2, 11), (30, 40)])
+def test_blocks_of_large_cells_against_brute_force(spark, large, tile, monkeypatch):
+    """Cells whose pairs are bounded in blocks give the pairs, scores and counts of all row pairs."""
+    monkeypatch.setattr(similarity, "_LARGE", large)
+    monkeypatch.setattr(similarity, "_BLOCK", 64)
+    monkeypatch.setattr(similarity, "_SAMPLE", 5)
+    rows = make_rows(200, 12, copies=0.1)
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choices("abcdef", k=n))
+    rows += [(f"L{i}", 9000 + i, f"{text(6)} Smith", rng.choice([f"{text(5)}@x.org", text(70), "", None]), rng.choice(["1", "2", None]), f"{i % 7} {text(5)}", "00000") for i in range(90)]
+    link = linkage.find_duplicates(spark.createDataFrame(rows, COLUMNS), tile_profiles=tile, staged=True)
+    first, want, counts = {}, {}, {}
+    for r in sorted(rows, key=lambda r: r[1]):
+        first.setdefault(r[2:], r[0])
+    for a, b, total in brute_force(rows):
+        if total >= 2.3:
+            counts[decision(total)] = counts.get(decision(total), 0) + 1
+            if a[2:] != b[2:]:
+                want[frozenset((first[a[2:]], first[b[2:]]))] = total
+    got = link.pairs.where("profile_a <> profile_b").collect()
+    assert len(got) == len(want) and {frozenset((r.id_a, r.id_b)): r.total_score for r in got} == want
+    assert {r.decision: int(r.n_pairs) for r in linkage.pair_counts(link).collect()} == counts
+
+
+def test_a_large_cell_is_not_scored_pair_by_pair(monkeypatch):
+    """Different people of one block: the pairs that a cheap bound rules out are not looked at one by one."""
+    rng, n, looked = random.Random(6), 600, []
+    text = lambda k: "".join(rng.choices("0123456789abcdef", k=k))
+    rows = pa.table({
+        "pos": pa.array(range(n), pa.int64()), "profile": [str(i) for i in range(n)], "id": [str(i) for i in range(n)], "n": pa.array([1] * n, pa.int64()),
+        "full_name": [f"{text(7)} Smith" for _ in range(n)], "email": [f"{text(8)}@{text(4)}.org" for _ in range(n)], "phone": [str(i) for i in range(n)],
+        "street_address": [f"{i % 97} {text(9)}" for i in range(n)], **{c: pa.array([0] * n, pa.int32()) for c in ("tile", "hi", "lo")},
+    })
+    inner = similarity._Rows.scored
+    monkeypatch.setattr(similarity._Rows, "scored", lambda self, a, *rest: looked.append(len(a)) or inner(self, a, *rest))
+    count = similarity.make_pair_counter(list(linkage.FUZZY_FIELDS), "phone", ["hi", "lo"], {"gray": 2.3, "auto_dup": 2.6})
+    list(count(iter(rows.to_batches())))
+    assert sum(looked) < 0.4 * n * (n - 1) / 2
