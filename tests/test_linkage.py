@@ -1,6 +1,7 @@
 """Linkage against brute force over all row pairs of a block."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from test_expressions import python_jaro_winkler
 from loanclean.functions import similarity
 from loanclean.functions.similarity import jaro_winkler_bound, signature
 from loanclean.operators import linkage, quality
+from loanclean.plans import jobs
 
 COLUMNS = "customer_id string, row_pos long, full_name string, email string, phone string, street_address string, zip_code string"
 
@@ -394,3 +396,16 @@ def test_a_large_cell_is_not_scored_pair_by_pair(monkeypatch):
     count = similarity.make_pair_counter(list(linkage.FUZZY_FIELDS), "phone", ["hi", "lo"], {"gray": 2.3, "auto_dup": 2.6})
     list(count(iter(rows.to_batches())))
     assert sum(looked) < 0.4 * n * (n - 1) / 2
+
+
+def test_saving_lists_the_pairs_once(spark, tmp_path):
+    """The list of pairs goes to the job's folder only, not to the shared one first."""
+    found = linkage.find_duplicates(spark.createDataFrame(make_rows(120, 21), COLUMNS), staged=True)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("link-pairs-*"))
+    final = spark.createDataFrame([(True, None)], "is_duplicate boolean, issue_date string")
+    layer2 = spark.createDataFrame([("2020-01-01", None)], "application_date string, issue_date string")
+    counts = {(r.stage, r.metric): r.value for r in jobs.save(jobs.Cleaned(final, found, layer2), str(tmp_path / "saved")).collect()}
+    assert set(shared.glob("link-pairs-*")) == before
+    want = {r.decision: int(r.n) for r in found.pairs.groupBy("decision").agg(F.sum("n_pairs").alias("n")).collect()}
+    assert {k: counts["pairs", k] for k in want} == want and counts["pairs", "rows"] == found.pairs.count()
